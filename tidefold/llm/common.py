@@ -57,3 +57,31 @@ def shuffle_width(spark: SparkSession) -> int:
 def row_chunks(spark: SparkSession, docs: DataFrame) -> int:
     """Partitions of ``docs`` as planned, at least the shuffle width: a chunk count that follows the input."""
     return max(shuffle_width(spark), docs.rdd.getNumPartitions())
+
+
+def map_texts(docs: DataFrame, columns: list[str], text_col: str, make, schema: str) -> DataFrame:
+    """Run ``make(lists of the columns, list of texts as bytes)`` on Arrow batches.
+
+    ``make`` returns a list of columns (lists or arrays) for ``schema``.  Texts arrive as UTF-8
+    bytes, null as ``b""``, whole; rows stay where they are, so nothing is shuffled.
+    """
+    names = [f"c{i}" for i in range(len(columns))]
+    picked = docs.select(*[F.col(c).alias(n) for c, n in zip(columns, names, strict=True)], whole_text(text_col).cast("binary").alias("t"))
+    target = to_arrow(schema)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if batch.num_rows:
+                out = make([batch.column(n).to_pylist() for n in names], batch.column("t").to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, target, strict=True)], schema=target)
+
+    return picked.mapInArrow(run, schema)
+
+
+def to_arrow(schema: str):
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    return to_arrow_schema(StructType.fromDDL(schema))

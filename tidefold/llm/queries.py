@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
+from .license_scan import license_scan
 from .line_dedup import drop_lines, line_bitmaps
+from .packing import pack
+from .tokens import Vocabulary
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,5 +47,34 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (key IN (SELECT key FROM hot
 FROM k GROUP BY doc_id
 """
 
-QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op7_line_dedup": op7_line_dedup}
+def vocabulary(name: str) -> Vocabulary:
+    import public_tokenizers
+
+    return Vocabulary(public_tokenizers.path(name), public_tokenizers.PATTERN)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), max_tokens=2048, end_id=0)
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("starts").cast("long").alias("n_base"),
+        F.array_min("starts").alias("first_word"),
+        F.array_max("starts").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+QUERIES = {
+    "op1_exact_dedup": op1_exact_dedup,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op7_line_dedup": op7_line_dedup,
+    "op9_license_scan": op9_license_scan,
+}
 ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op7_line_dedup": OP7_SQL}
