@@ -9,6 +9,7 @@ from .exact_dedup import exact_dedup
 from .license_scan import license_scan
 from .line_dedup import drop_lines, line_bitmaps
 from .packing import pack
+from .quality import fit_quality, score_texts
 from .tokens import Vocabulary
 
 
@@ -57,6 +58,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), max_tokens=2048, end_id=0)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), modulus=3, remainder=1)
+    return score_texts(docs, model, threshold=0.5, modulus=3, remainder=1)
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan(table(spark, sf_dir, "documents"))
     return found.select(
@@ -74,6 +81,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_quality_classifier": op3_quality_classifier,
     "op7_line_dedup": op7_line_dedup,
     "op9_license_scan": op9_license_scan,
 }
