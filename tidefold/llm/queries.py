@@ -10,6 +10,7 @@ from .license_scan import license_scan
 from .line_dedup import drop_lines, line_bitmaps
 from .packing import pack
 from .quality import fit_quality, score_texts
+from .toxicity import fit_toxicity
 from .tokens import Vocabulary
 
 
@@ -64,6 +65,12 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(docs, model, threshold=0.5, modulus=3, remainder=1)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), modulus=4, remainder=2)
+    return score_texts(docs, model, threshold=0.3, modulus=4, remainder=2)
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan(table(spark, sf_dir, "documents"))
     return found.select(
@@ -82,6 +89,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_toxicity": op4_toxicity,
     "op7_line_dedup": op7_line_dedup,
     "op9_license_scan": op9_license_scan,
 }
