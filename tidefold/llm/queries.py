@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .exact_dedup import exact_dedup
 from .license_scan import license_scan
 from .line_dedup import drop_lines, line_bitmaps
+from .minhash import near_groups
 from .packing import pack
 from .quality import fit_quality, score_texts
 from .toxicity import fit_toxicity
@@ -31,6 +32,26 @@ FROM n
 """
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"), shingle=5, percent=75)
+
+
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+      ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.b FROM r JOIN e ON e.a = r.y),
+c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN c ON c.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = drop_lines(docs, line_bitmaps(docs, min_docs=10, min_key_len=1))
@@ -90,7 +111,8 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_toxicity": op4_toxicity,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op9_license_scan": op9_license_scan,
 }
-ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op7_line_dedup": OP7_SQL}
+ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op5_minhash_near_dedup": OP5_SQL, "op7_line_dedup": OP7_SQL}
