@@ -11,6 +11,7 @@ from .line_dedup import drop_lines, line_bitmaps
 from .minhash import near_groups
 from .packing import pack
 from .quality import fit_quality, score_texts
+from .substring_dedup import substring_dedup
 from .toxicity import fit_toxicity
 from .tokens import Vocabulary
 
@@ -106,6 +107,25 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup(table(spark, sf_dir, "documents"), length=50)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP10_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS s, ws FROM w WHERE len(ws) >= 50),
+h AS (SELECT doc_id, s, md5(array_to_string(ws[s:s + 49], ' ')) AS k FROM g),
+d AS (SELECT doc_id, s FROM (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY k) AS lo FROM h) WHERE lo < doc_id),
+c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS i FROM d),
+x AS (SELECT w.doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+y AS (SELECT x.doc_id, count(c.i) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY x.i) FILTER (c.i IS NULL), '') AS kept
+      FROM x LEFT JOIN c ON c.doc_id = x.doc_id AND c.i = x.i GROUP BY x.doc_id)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN y ON y.doc_id = w.doc_id
+"""
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -114,5 +134,6 @@ QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op9_license_scan": op9_license_scan,
+    "op10_substring_dedup": op10_substring_dedup,
 }
-ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op5_minhash_near_dedup": OP5_SQL, "op7_line_dedup": OP7_SQL}
+ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op5_minhash_near_dedup": OP5_SQL, "op7_line_dedup": OP7_SQL, "op10_substring_dedup": OP10_SQL}
