@@ -12,6 +12,7 @@ from .minhash import near_groups
 from .packing import pack
 from .quality import fit_quality, score_texts
 from .substring_dedup import substring_dedup
+from .topk import top_k
 from .toxicity import fit_toxicity
 from .tokens import Vocabulary
 
@@ -53,6 +54,21 @@ FROM documents d JOIN c ON c.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+OP6_SQL = r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = drop_lines(docs, line_bitmaps(docs, min_docs=10, min_key_len=1))
@@ -132,8 +148,9 @@ QUERIES = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_toxicity": op4_toxicity,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_exact_topk": op6_exact_topk,
     "op7_line_dedup": op7_line_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_substring_dedup": op10_substring_dedup,
 }
-ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op5_minhash_near_dedup": OP5_SQL, "op7_line_dedup": OP7_SQL, "op10_substring_dedup": OP10_SQL}
+ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op5_minhash_near_dedup": OP5_SQL, "op6_exact_topk": OP6_SQL, "op7_line_dedup": OP7_SQL, "op10_substring_dedup": OP10_SQL}
