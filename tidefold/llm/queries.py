@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import bpe_digests
 from .exact_dedup import exact_dedup
 from .license_scan import license_scan
 from .line_dedup import drop_lines, line_bitmaps
@@ -109,6 +110,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(docs, model, threshold=0.3, modulus=4, remainder=2)
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan(table(spark, sf_dir, "documents"))
     return found.select(
@@ -150,6 +155,7 @@ QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_exact_topk": op6_exact_topk,
     "op7_line_dedup": op7_line_dedup,
+    "op8_byte_bpe": op8_byte_bpe,
     "op9_license_scan": op9_license_scan,
     "op10_substring_dedup": op10_substring_dedup,
 }
