@@ -23,10 +23,11 @@ import uuid
 import zlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, whole_text
 from .labelled import held_out, training_rows
 
 AGAIN = b"\x00again"
@@ -133,3 +134,13 @@ def score_texts(docs: DataFrame, model, id_col: str = "doc_id", text_col: str =
     return scored.select(
         "doc_id", held_out(F.col("doc_id"), modulus, remainder).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
+
+
+def keep_good(docs: DataFrame, model: Embeddings, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text scores ``threshold`` or more."""
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.scores(texts.tolist()), dtype="float64")
+
+    return docs.where(score(whole_text(text_col).cast("binary")) >= threshold)
