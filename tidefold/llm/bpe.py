@@ -27,7 +27,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, materialise, shuffle_width, to_arrow, whole_text
+from .common import SLICE, map_texts, materialise, shuffle_width, to_arrow, whole_text
 from .tokens import Vocabulary
 
 RANK_BITS = 15
@@ -112,8 +112,8 @@ def split_words(pattern: str):
     return regex.compile(pattern).findall
 
 
-def frequent_words(docs: DataFrame, pattern: str, ranks: Column, words: int, fold_bytes: int, text_col: str) -> tuple[list[str], list[list[int]]]:
-    """At most ``words`` words, those with the highest counts over all documents, and their ids."""
+def frequent_words(docs: DataFrame, pattern: str, ranks: Column, words: int, fold_bytes: int, text_col: str) -> tuple[list[str], list[bytes]]:
+    """At most ``words`` words, those with the highest counts over all documents, and their ids in decimal."""
     found = F.explode(F.regexp_extract_all(whole_text(text_col), F.lit("(?U)" + pattern), F.lit(0)))
     counts = docs.select(found.alias("w")).where((F.octet_length("w") > 0) & (F.octet_length("w") <= fold_bytes)).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     level = F.floor(F.log2(F.col("n")) * 16).cast("int")
@@ -127,7 +127,8 @@ def frequent_words(docs: DataFrame, pattern: str, ranks: Column, words: int, fol
     if least is None:
         return [], []
     chosen = counts.where(F.col("level") >= least).select("w").repartition(shuffle_width(docs.sparkSession))
-    coded = materialise(chosen.select("w", F.get(encode_words(F.array(F.col("w").cast("binary")), ranks), F.lit(0)).alias("ids")), "word-codes").toArrow()
+    ids = F.get(encode_words(F.array(F.col("w").cast("binary")), ranks), F.lit(0))
+    coded = materialise(chosen.select("w", F.array_join(ids, " ").cast("binary").alias("ids")), "word-codes").toArrow()
     return coded.column("w").to_pylist(), coded.column("ids").to_pylist()
 
 
@@ -148,17 +149,15 @@ def word_index(value: dict) -> dict[str, int]:
     return {w: i for i, w in enumerate(value["words"])}
 
 
-def word_tokens(value: dict) -> list[list[int]]:
-    return value["ids"]
-
-
 def word_strings(value: dict) -> tuple[list[int], list[bytes], list[bytes]]:
-    """Per word: number of ids, the ids in decimal, and the bytes that the ids decode to."""
-    return tuple(map(list, zip(*(strings(ids, value["bytes"]) for ids in value["ids"]), strict=True))) or ([], [], [])
+    """Per dictionary word: number of ids, the ids in decimal, and the bytes that the ids decode to."""
+    table = value["bytes"]
+    decoded = [b"".join([table[int(i)] for i in ids.split()]) for ids in value["ids"]]
+    return [ids.count(b" ") + 1 for ids in value["ids"]], value["ids"], decoded
 
 
-def strings(ids: list[int], vocabulary: list[bytes]) -> tuple[int, bytes, bytes]:
-    return len(ids), " ".join(map(str, ids)).encode(), b"".join([vocabulary[i] for i in ids])
+def strings(ids: list[int], table: list[bytes]) -> tuple[int, bytes, bytes]:
+    return len(ids), " ".join(map(str, ids)).encode(), b"".join([table[i] for i in ids])
 
 
 def coded(docs: DataFrame, vocabulary: Vocabulary, words: int, fold_bytes: int, id_col: str, text_col: str) -> tuple[DataFrame, object]:
@@ -208,21 +207,21 @@ def _second(docs: DataFrame, shared, vocabulary: Vocabulary, finish, schema: str
 
         single = vocabulary.encoder()._encode_single_piece
         for b in batches:
-            rows = []
-            for doc, codes, own, long in zip(*(b.column(c).to_pylist() for c in ("doc_id", "codes", "own", "long")), strict=True):
-                rows.append((doc, *finish(shared, codes, own + [single(w) for w in long])))
-            if rows:
+            for at in range(0, b.num_rows, SLICE):
+                part = b.slice(at, SLICE)
+                columns = (part.column(c).to_pylist() for c in ("doc_id", "codes", "own", "long"))
+                rows = [(doc, *finish(shared, codes, own + [single(w) for w in long])) for doc, codes, own, long in zip(*columns, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), target, strict=True)], schema=target)
 
     return docs.mapInArrow(run, schema)
 
 
-def bpe_encode(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 500_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bpe_encode(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 300_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (array<int>) for each row of ``docs``."""
 
     def finish(shared, codes, own):
-        known = loaded(shared, word_tokens)
-        return ([i for c in codes for i in (known[c] if c >= 0 else own[-1 - c])],)
+        known = loaded(shared, word_strings)[1]
+        return ([i for c in codes for i in (map(int, known[c].split()) if c >= 0 else own[-1 - c])],)
 
     parts, shared = coded(docs, vocabulary, dictionary_words, fold_bytes, id_col, text_col)
     return _second(parts, shared, vocabulary, finish, "doc_id long, ids array<int>")
@@ -236,7 +235,7 @@ def bpe_decode(tokens: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids")
     return tokens.withColumn("decoded", F.unhex(let(pieces, lambda p: F.array_join(F.transform(F.col(ids_col), lambda i: F.element_at(p, i + 1)), ""))))
 
 
-def bpe_digests(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 500_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bpe_digests(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 300_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (decimal ids joined by spaces), decoded_sha256 (of the decoded ids)."""
 
     def finish(shared, codes, own):

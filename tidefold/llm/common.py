@@ -59,6 +59,10 @@ def row_chunks(spark: SparkSession, docs: DataFrame) -> int:
     return max(shuffle_width(spark), docs.rdd.getNumPartitions())
 
 
+#: Rows of an Arrow batch that become Python objects at a time.
+SLICE = 512
+
+
 def map_texts(docs: DataFrame, columns: list[str], text_col: str, make, schema: str) -> DataFrame:
     """Run ``make(lists of the columns, list of texts as bytes)`` on Arrow batches.
 
@@ -72,8 +76,9 @@ def map_texts(docs: DataFrame, columns: list[str], text_col: str, make, schema:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):  # Python objects of a slice only, however large Spark's batches
+                batch = whole.slice(at, SLICE)
                 out = make([batch.column(n).to_pylist() for n in names], batch.column("t").to_pylist())
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, target, strict=True)], schema=target)
 
