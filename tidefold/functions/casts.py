@@ -69,7 +69,7 @@ def pg_array(text: Column, kind: T.ArrayType, strict: bool = False) -> Column:
         F.when(t == "{", "[")
         .when(t == "}", "]")
         .when(t == ",", ",")
-        .when(t.startswith('"'), F.regexp_replace(t, r'\\([^"\\])', "$1"))
+        .when(t.startswith('"'), F.regexp_replace(t, r'(\\["\\])|\\(.)', "$1$2"))
         .when(F.lower(F.trim(t)) == "null", "null")
         .otherwise(F.substring(plain(t), F.lit(2), F.length(plain(t)) - 2))
     )

@@ -15,9 +15,20 @@ from pyspark.sql import types as T
 
 from ..functions.casts import cast_text
 
-ENVELOPE = T.StructType.fromDDL(
-    "source string, lsn long, seq long, xid long, commit_ts timestamp, table string, op string, "
-    "before array<string>, after array<string>, unchanged array<boolean>, schema_id int"
+ENVELOPE = T.StructType(
+    [
+        T.StructField("source", T.StringType()),
+        T.StructField("lsn", T.LongType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("xid", T.LongType()),
+        T.StructField("commit_ts", T.TimestampType()),
+        T.StructField("table", T.StringType()),
+        T.StructField("op", T.StringType()),
+        T.StructField("before", T.ArrayType(T.StringType())),
+        T.StructField("after", T.ArrayType(T.StringType())),
+        T.StructField("unchanged", T.ArrayType(T.BooleanType())),
+        T.StructField("schema_id", T.IntegerType()),
+    ]
 )
 INSERT, UPDATE, DELETE, TRUNCATE, DDL = "I", "U", "D", "T", "DDL"
 
