@@ -127,18 +127,18 @@ def patch_without_base(spark, sf_dir):
 
 
 @query("""SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n
-FROM events WHERE event_id > (SELECT max(event_id) FROM events WHERE event_id % 400 = 399)) WHERE n = 1""")
+FROM events WHERE event_id > (SELECT max(event_id) FROM events WHERE event_id % 400 = 299)) WHERE n = 1""")
 def truncate_epoch(spark, sf_dir):
     rows = table(spark, sf_dir, "events")
-    log = changelog(rows, EVENTS, F.when(F.col("event_id") % 400 == 399, "T").otherwise("I"), F.col("event_id"))
+    log = changelog(rows, EVENTS, F.when(F.col("event_id") % 400 == 299, "T").otherwise("I"), F.col("event_id"))
     base = rows.groupBy("user_id").agg(F.lit(-1).cast("long").alias("event_id"), F.lit("old").alias("event_type"), F.lit(0.0).alias("value"))
     return fold.mirror(base, decode(log, EVENTS), ["user_id"])
 
 
-@query("SELECT epoch, count(*) AS n, min(event_id) AS first_event FROM (SELECT *, count(*) FILTER (event_id % 400 = 399) OVER (ORDER BY event_id) AS epoch FROM events) GROUP BY epoch")
+@query("SELECT epoch, count(*) AS n, min(event_id) AS first_event FROM (SELECT *, count(*) FILTER (event_id % 400 = 299) OVER (ORDER BY event_id) AS epoch FROM events) GROUP BY epoch")
 def epoch_plan(spark, sf_dir):
     rows = table(spark, sf_dir, "events")
-    log = changelog(rows, EVENTS, F.when(F.col("event_id") % 400 == 399, "T").otherwise("I"), F.col("event_id"))
+    log = changelog(rows, EVENTS, F.when(F.col("event_id") % 400 == 299, "T").otherwise("I"), F.col("event_id"))
     return epochs.epochs(log).groupBy("epoch").agg(F.count(F.lit(1)).alias("n"), F.min("lsn").alias("first_event"))
 
 
