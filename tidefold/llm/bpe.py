@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -137,7 +138,7 @@ _loaded: dict = {}
 
 def loaded(shared, make):
     """What ``make`` builds of a broadcast value, once in each worker process."""
-    key = (shared.id if hasattr(shared, "id") else id(shared), make.__name__)
+    key = (shared.value["name"], make.__name__)
     if key not in _loaded:
         for old in [k for k in _loaded if k[1] == make.__name__]:
             del _loaded[old]
@@ -173,7 +174,7 @@ def coded(docs: DataFrame, vocabulary: Vocabulary, words: int, fold_bytes: int,
     table = [b""] * (max(ranks.values(), default=-1) + 1)
     for word, i in ranks.items():
         table[i] = word
-    shared = spark.sparkContext.broadcast({"words": known, "ids": ids, "bytes": table})
+    shared = spark.sparkContext.broadcast({"name": uuid.uuid4().hex, "words": known, "ids": ids, "bytes": table})
     pattern = vocabulary.pattern
 
     def first_pass(columns, texts):

@@ -32,6 +32,7 @@ from .labelled import held_out, training_rows
 
 AGAIN = b"\x00again"
 CACHE_WORDS = 400_000
+FIT_WORDS = 50_000
 _caches: dict[str, dict] = {}
 
 
@@ -39,7 +40,7 @@ def word_features(word: bytes, buckets: int, sizes: tuple[int, ...] = (2, 3, 4))
     """Rows of a word: itself and its character n-grams."""
     w = b"<" + word + b">"
     grams = [w] + [w[i : i + n] for n in sizes for i in range(len(w) - n + 1)]
-    return np.fromiter(map(zlib.crc32, grams), np.int64, len(grams)) % buckets
+    return (np.fromiter(map(zlib.crc32, grams), np.uint32, len(grams)) % buckets).astype(np.int32)
 
 
 def document_features(text: bytes, buckets: int, known: dict[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -47,15 +48,17 @@ def document_features(text: bytes, buckets: int, known: dict[bytes, np.ndarray])
     before, parts = None, []
     for w in text.split():
         if w not in known:
+            if len(known) >= FIT_WORDS:
+                known.clear()
             known[w] = word_features(w, buckets)
         parts.append(known[w])
         if w == before:
-            parts.append(known.setdefault(AGAIN, np.array([zlib.crc32(AGAIN) % buckets])))
+            parts.append(known.setdefault(AGAIN, np.array([zlib.crc32(AGAIN) % buckets], np.int32)))
         before = w
     if not parts:
-        return np.zeros(0, np.int64), np.zeros(0)
+        return np.zeros(0, np.int32), np.zeros(0, np.float32)
     ids, n = np.unique(np.concatenate(parts), return_counts=True)
-    return ids, n / n.sum()
+    return ids, (n / n.sum()).astype(np.float32)
 
 
 class Embeddings:
@@ -81,7 +84,7 @@ class Embeddings:
                 rate = self.rate * (1 - step / steps)
                 step += 1
                 ids, share = rows[k]
-                share = share.astype(np.float32)[:, None]
+                share = share[:, None]
                 hidden = (vectors[ids] * share).sum(axis=0)
                 z = hidden @ out + bias
                 p = np.exp(z - z.max())
@@ -123,7 +126,7 @@ class Embeddings:
         return found
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", train_rows: int = 6000, max_bytes: int = 24_000, modulus: int = 3, remainder: int = 1, **model) -> Embeddings:
+def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", train_rows: int = 3000, max_bytes: int = 24_000, modulus: int = 3, remainder: int = 1, **model) -> Embeddings:
     texts, y = training_rows(docs, labels, label_col, modulus, remainder, train_rows, max_bytes)
     return Embeddings(**model).fit(texts, y)
 
