@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import pickle
 import uuid
 
 from pyspark.sql import Column, DataFrame
@@ -137,24 +138,24 @@ _loaded: dict = {}
 
 
 def loaded(shared, make):
-    """What ``make`` builds of a broadcast value, once in each worker process."""
-    key = (shared.value["name"], make.__name__)
+    """What ``make`` builds of a broadcast value (name, pickled data), once in each worker process."""
+    name, data = shared.value
+    key = (name, make.__name__)
     if key not in _loaded:
         for old in [k for k in _loaded if k[1] == make.__name__]:
             del _loaded[old]
-        _loaded[key] = make(shared.value)
+        _loaded[key] = make(pickle.loads(data))
     return _loaded[key]
 
 
-def word_index(value: dict) -> dict[str, int]:
-    return {w: i for i, w in enumerate(value["words"])}
+def word_index(words: list[str]) -> dict[str, int]:
+    return {w: i for i, w in enumerate(words)}
 
 
-def word_strings(value: dict) -> tuple[list[int], list[bytes], list[bytes]]:
-    """Per dictionary word: number of ids, the ids in decimal, and the bytes that the ids decode to."""
-    table = value["bytes"]
-    decoded = [b"".join([table[int(i)] for i in ids.split()]) for ids in value["ids"]]
-    return [ids.count(b" ") + 1 for ids in value["ids"]], value["ids"], decoded
+def word_strings(data: tuple[list[bytes], list[bytes]]) -> tuple[list[int], list[bytes], list[bytes], list[bytes]]:
+    """Per dictionary word: number of ids, the ids in decimal, and the bytes that the ids decode to; and the byte string of each id."""
+    ids, table = data
+    return [x.count(b" ") + 1 for x in ids], ids, [b"".join([table[int(i)] for i in x.split()]) for x in ids], table
 
 
 def strings(ids: list[int], table: list[bytes]) -> tuple[int, bytes, bytes]:
@@ -174,11 +175,13 @@ def coded(docs: DataFrame, vocabulary: Vocabulary, words: int, fold_bytes: int,
     table = [b""] * (max(ranks.values(), default=-1) + 1)
     for word, i in ranks.items():
         table[i] = word
-    shared = spark.sparkContext.broadcast({"name": uuid.uuid4().hex, "words": known, "ids": ids, "bytes": table})
+    name = uuid.uuid4().hex
+    index_data = spark.sparkContext.broadcast((name, pickle.dumps(known)))
+    shared = spark.sparkContext.broadcast((name, pickle.dumps((ids, table))))
     pattern = vocabulary.pattern
 
     def first_pass(columns, texts):
-        find, index = split_words(pattern), loaded(shared, word_index)
+        find, index = split_words(pattern), loaded(index_data, word_index)
         codes, own, long = [], [], []
         for t in texts:
             found = find(t.decode("utf-8", "replace"))
@@ -240,8 +243,8 @@ def bpe_digests(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int =
     """doc_id, n_tokens, ids_sha256 (decimal ids joined by spaces), decoded_sha256 (of the decoded ids)."""
 
     def finish(shared, codes, own):
-        numbers, texts, decoded = loaded(shared, word_strings)
-        extra = [strings(ids, shared.value["bytes"]) for ids in own]
+        numbers, texts, decoded, table = loaded(shared, word_strings)
+        extra = [strings(ids, table) for ids in own]
         n = sum([numbers[c] if c >= 0 else extra[-1 - c][0] for c in codes])
         ids = hashlib.sha256(b" ".join([texts[c] if c >= 0 else extra[-1 - c][1] for c in codes])).hexdigest()
         return n, ids, hashlib.sha256(b"".join([decoded[c] if c >= 0 else extra[-1 - c][2] for c in codes])).hexdigest()
