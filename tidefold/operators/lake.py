@@ -31,6 +31,10 @@ from .files import Store
 EMPTY = {"version": 0, "ts": 0, "next_id": 1, "tables": {}, "offsets": {}, "control": {}}
 
 
+#: Up to so many rows a rewrite gives one file, sorted by key; more are dealt into key ranges.
+ONE_FILE_ROWS = 500_000
+
+
 class Conflict(Exception):
     """Another writer kept publishing first."""
 
@@ -203,15 +207,20 @@ class Lake:
         found = {r[0].rsplit("/", 2)[-2] + "/" + r[0].rsplit("/", 1)[1] for r in own.join(keys, names, "left_semi").select("__file").distinct().collect()}
         return [f for f in files if "/".join(f["path"].rsplit("/", 2)[-2:]) in found]
 
-    def apply_changes(self, manifest: dict, name: str, changes: DataFrame) -> None:
-        """Fold decoded changes (see ``envelope.decode``) of one table into a manifest."""
+    def apply_changes(self, manifest: dict, name: str, changes: DataFrame, summary: dict | None = None) -> None:
+        """Fold decoded changes (see ``envelope.decode``) of one table into a manifest.
+
+        ``summary`` says what the changes hold (cut: a truncate, holes: unsent columns, n: rows); it is
+        counted if not given.
+        """
         table = self.table(manifest, name)
         keys = table["keys"]
-        summary = changes.agg(
-            F.coalesce(F.bool_or(F.col("op") == "T"), F.lit(False)).alias("cut"),
-            F.coalesce(F.bool_or((F.col("op") == "U") & F.exists("held", lambda x: x)), F.lit(False)).alias("holes"),
-            F.count(F.lit(1)).alias("n"),
-        ).first()
+        if summary is None:
+            summary = changes.agg(
+                F.coalesce(F.bool_or(F.col("op") == "T"), F.lit(False)).alias("cut"),
+                F.coalesce(F.bool_or((F.col("op") == "U") & F.exists("held", lambda x: x)), F.lit(False)).alias("holes"),
+                F.count(F.lit(1)).alias("n"),
+            ).first()
         if not summary["n"]:
             return
         if not keys:
@@ -226,7 +235,7 @@ class Lake:
             return
         split = fold.split_moves(changes, keys)
         names = split.select(*fold.row_of(keys)).where(" and ".join(f"`{k}` is not null" for k in keys)).distinct()
-        hit = self.touched_files(table, names)
+        hit = self.touched_files(table, names) if table["files"] else []
         base = self.rows(table, hit)
         if table["inline"]:
             inline = copy.deepcopy(table) | {"files": []}
@@ -234,7 +243,8 @@ class Lake:
             table["inline"] = []
         gone = {f["path"] for f in hit}
         table["files"] = [f for f in table["files"] if f["path"] not in gone]
-        self.put(table, step(base, changes, keys))
+        few = sum(f["rows"] for f in hit) + summary["n"] <= ONE_FILE_ROWS
+        self.put(table, step(base, changes, keys), 1 if few else None)
 
     def truncate(self, manifest: dict, name: str) -> None:
         if name in manifest["tables"]:

@@ -37,21 +37,33 @@ class Mirror:
         batch = batch.persist()
         try:
             with self.state.timed(stages, "decode"):
-                top = batch.agg(F.max("lsn").alias("lsn"), F.count(F.lit(1)).alias("n"), F.max("commit_ts").alias("ts")).first()
-            if top["lsn"] is None or top["lsn"] <= self.offset():
+                found = self.survey(batch)
+            lsn = max((r["lsn"] for r in found), default=-1)
+            if lsn <= self.offset():
                 return
-            fresh = batch.where(F.col("lsn") > self.offset())
+            fresh = batch.where(F.col("lsn") > self.offset()) if min(r["first"] for r in found) <= self.offset() else batch
             with self.state.timed(stages, "plan"):
-                steps = self.steps(fresh)
+                steps = self.steps(fresh) if any(r["ddl"] for r in found) else [("rows", (-1, -1), None)]
+            known = {r["table"]: r.asDict() for r in found} if len(steps) == 1 and fresh is batch else None
             with self.state.timed(stages, "lake_commit"):
-                self.lake.commit(lambda m: self.edit(m, fresh, steps, int(top["lsn"]), stages))
+                self.lake.commit(lambda m: self.edit(m, fresh, steps, lsn, stages, known))
         except Exception:
             self.state.failed()
             raise
         finally:
             batch.unpersist()
-        self.state.delivered(int(top["ts"].timestamp() * 1000) if top["ts"] else None)
-        self.state.committed(int(top["n"]), stages)
+        times = [r["ts"] for r in found if r["ts"]]
+        self.state.delivered(int(max(times).timestamp() * 1000) if times else None)
+        self.state.committed(sum(r["n"] for r in found), stages)
+
+    @staticmethod
+    def survey(batch: DataFrame) -> list:
+        """A row for each table of a batch: what it holds, in one job."""
+        holes = (F.col("op") == "U") & F.coalesce(F.exists("unchanged", lambda x: x), F.lit(False))
+        return batch.groupBy("table").agg(
+            F.min("lsn").alias("first"), F.max("lsn").alias("lsn"), F.max("commit_ts").alias("ts"), F.count(F.lit(1)).alias("n"),
+            F.bool_or(F.col("op") == "T").alias("cut"), F.bool_or(holes).alias("holes"), F.bool_or(F.col("op") == "DDL").alias("ddl"),
+        ).collect()
 
     def steps(self, batch: DataFrame) -> list[tuple]:
         """In order: ("rows", first lsn, first seq, end lsn, end seq) and ("ddl", actions).  DDL rows are few; only they reach the driver."""
@@ -71,7 +83,8 @@ class Mirror:
             return [a for sql, schema, *_ in tuples for a in classify(sql, schema)]
         return from_audit([dict(zip(AUDIT, t, strict=False)) for t in tuples])
 
-    def edit(self, manifest: dict, batch: DataFrame, steps: list[tuple], lsn: int, stages: dict) -> None:
+    def edit(self, manifest: dict, batch: DataFrame, steps: list[tuple], lsn: int, stages: dict, known: dict | None = None) -> None:
+        """Edit a manifest; ``known`` is the survey where the whole batch is one step."""
         rows = batch.where("op <> 'DDL'")
         for what, *rest in steps:
             if what == "ddl":
@@ -83,14 +96,16 @@ class Mirror:
             point = lambda p: F.struct(F.lit(p[0]).cast("long").alias("lsn"), F.lit(p[1]).cast("long").alias("seq"))
             part = rows.where(place > point(start))
             part = part.where(place < point(end)) if end else part
-            for table in sorted(r[0] for r in part.select("table").distinct().collect()):
+            for table in sorted(known or (r[0] for r in part.select("table").distinct().collect())):
                 shape = self.shape_of(table)
                 name = self.lake.name_of(table)
                 with self.state.timed(stages, "ensure"):
                     self.evolver.ensure(manifest, name, list(shape.columns), list(shape.keys))
                 with self.state.timed(stages, "mirror_dml"):
                     columns = manifest["tables"][name]["columns"]
-                    self.lake.apply_changes(manifest, name, widened(decode(part, shape), shape, columns))
+                    changes = widened(decode(part, shape), shape, columns)
+                    same = known and columns_match(columns, shape)
+                    self.lake.apply_changes(manifest, name, changes, known[table] if same else None)
         manifest["offsets"][self.source] = {"lsn": lsn}
 
     def start(self, stream: DataFrame, checkpoint: str, **trigger):
@@ -98,10 +113,14 @@ class Mirror:
         return stream.writeStream.foreachBatch(self.apply).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
+def columns_match(columns: list[dict], shape: Shape) -> bool:
+    return [c["name"] for c in columns] == shape.names
+
+
 def widened(changes: DataFrame, shape: Shape, columns: list[dict]) -> DataFrame:
     """Decoded changes in the lake's column order.  Columns that the source no longer has count as not sent by updates, and are null in new rows."""
     place, kinds = {n: i for i, n in enumerate(shape.names)}, dict(shape.columns)
-    if [c["name"] for c in columns] == shape.names:
+    if columns_match(columns, shape):
         return changes
     value = lambda s, c: F.col(f"{s}.{c['name']}").cast(kinds[c["name"]]) if c["name"] in place else F.lit(None).cast(kind(c))
     side = lambda s: F.when(F.col(s).isNotNull(), F.struct(*[value(s, c).alias(c["name"]) for c in columns]))
