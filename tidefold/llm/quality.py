@@ -64,8 +64,8 @@ def document_features(text: bytes, buckets: int, known: dict[bytes, np.ndarray])
 class Embeddings:
     """Vectors, output layer and, after ``fit``, one number per row."""
 
-    def __init__(self, buckets: int = 1 << 17, dims: int = 10, epochs: int = 6, rate: float = 2.0, seed: int = 1):
-        self.buckets, self.dims, self.epochs, self.rate, self.seed = buckets, dims, epochs, rate, seed
+    def __init__(self, buckets: int = 1 << 17, dims: int = 10, epochs: int = 6, rate: float = 2.0, seed: int = 1, least_updates: int = 12_000):
+        self.buckets, self.dims, self.epochs, self.rate, self.seed, self.least_updates = buckets, dims, epochs, rate, seed, least_updates
         self.row = np.zeros(buckets, np.float32)
         self.bias = 0.0
         self.name = uuid.uuid4().hex
@@ -78,8 +78,9 @@ class Embeddings:
         out, bias = np.zeros((self.dims, 2), np.float32), np.log(np.bincount(labels, minlength=2) + 1.0).astype(np.float32)
         known: dict[bytes, np.ndarray] = {}
         rows = [document_features(t, self.buckets, known) for t in texts]
-        step, steps = 0, self.epochs * len(rows)
-        for _ in range(self.epochs):
+        epochs = max(self.epochs, -(-self.least_updates // len(rows)))  # few rows are gone through more often
+        step, steps = 0, epochs * len(rows)
+        for _ in range(epochs):
             for k in rng.permutation(len(rows)):
                 rate = self.rate * (1 - step / steps)
                 step += 1
