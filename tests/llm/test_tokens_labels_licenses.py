@@ -30,17 +30,18 @@ def library():
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("dictionary", [0, 30, 100_000])
-def test_bpe(docs, library, dictionary):
+@pytest.mark.parametrize(("dictionary", "complete"), [(0, 0), (30, 0), (30, 10**6), (100_000, 10**6)])
+def test_bpe(docs, library, dictionary, complete):
+    """With the words that all are folded beforehand, with none, and with some."""
     v = vocabulary("byte_bpe_50k.tiktoken")
     encode = v.encoder().encode_ordinary
     source = rows(docs, "doc_id", "text")
-    got = rows(bpe_decode(bpe_encode(docs, v, dictionary_words=dictionary), v), "doc_id", "ids", "decoded")
+    got = rows(bpe_decode(bpe_encode(docs, v, dictionary_words=dictionary, complete_words=complete), v), "doc_id", "ids", "decoded")
     want = [(i, encode(t or ""), (t or "").encode()) for i, t in source]
     assert sorted((str(a), list(b), bytes(c)) for a, b, c in got) == sorted((str(a), b, c) for a, b, c in want)
     assert all(encode(t or "") == library(t or "") for _, t in source)
     sha = lambda b: hashlib.sha256(b).hexdigest()
-    digests = rows(bpe_digests(docs, v, dictionary_words=dictionary), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    digests = rows(bpe_digests(docs, v, dictionary_words=dictionary, complete_words=complete), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
     assert sorted(digests, key=str) == sorted(((i, len(x), sha(" ".join(map(str, x)).encode()), sha(t)) for i, x, t in want), key=str)
 
 
@@ -48,8 +49,9 @@ def test_bpe_odd_texts(spark):
     v = vocabulary("byte_bpe_50k.tiktoken")
     odd = ["\x1c\x1d\x85 ᠎  x", "I'LL i'll  \n\n", "٣४ 12a", "🙂🙂 é", "\x00\x01", "a" * 2000 + " " + "é" * 300, "<|endoftext|>"]
     df = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
-    got = {i: list(x) for i, x in rows(bpe_encode(df, v, dictionary_words=4), "doc_id", "ids")}
-    assert got == {i: v.encoder().encode_ordinary(t) for i, t in enumerate(odd)}
+    for complete in (0, 1000):
+        got = {i: list(x) for i, x in rows(bpe_encode(df, v, dictionary_words=4, complete_words=complete), "doc_id", "ids")}
+        assert got == {i: v.encoder().encode_ordinary(t) for i, t in enumerate(odd)}
 
 
 def test_bpe_of_nothing(nothing):

@@ -5,14 +5,19 @@
   leftmost of equals), joins it, and looks up the two ranks that change.  The rank map is a
   literal of the query, an array of small maps found by CRC-32, so one look-up compares one or two keys.
 * The fold is applied to distinct words.  Words are counted over the corpus with map-side
-  sums; a histogram of the counts gives the least count that at most ``dictionary_words`` words
-  reach.  Those, a bounded number whatever the corpus, are folded once and their codes are
-  sent to the workers.
-* All other words are folded where they stand: a first pass over a batch replaces words by
-  codes and lists the distinct words of each text that the dictionary lacks, the fold runs on
-  that list, a second pass puts the ids together.  Both passes and the fold are one stage; texts are not shuffled.
-* A word's merges cost its length squared; words of more than ``fold_bytes`` bytes are encoded by
-  the ``tiktoken`` library itself.
+  sums.  If there are at most ``complete_words`` of them, each is folded once and the codes
+  travel to the workers: those of the most frequent words as a dictionary, all others as
+  sorted 64-bit hashes with packed ids, about 25 bytes a word, so the bound is also one of memory.  One pass
+  over the texts then puts the ids together.
+* With more words only the ``dictionary_words`` most frequent are folded beforehand (a histogram of the
+  counts gives the least count that so many words reach).  The others are folded where
+  they stand: a first pass over a batch replaces words by codes and lists the distinct
+  words of each text that the dictionary lacks, the fold runs on that list, a second pass puts the
+  ids together.  Both passes and the fold are one stage.  The size is checked, the result is the same.
+* Texts are not shuffled either way.
+* A word's merges cost its length squared; words of more than ``fold_bytes`` bytes, and words that
+  Python's and Java's patterns split differently (characters newer than Java's tables), are
+  encoded by the ``tiktoken`` library itself.
 * Decoding maps ids to their byte strings and concatenates them.
 
 Defined results: a null or empty text has no tokens; repeated rows get equal results; extra
@@ -26,6 +31,7 @@ import json
 import pickle
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,24 +120,49 @@ def split_words(pattern: str):
     return regex.compile(pattern).findall
 
 
-def frequent_words(docs: DataFrame, pattern: str, ranks: Column, words: int, fold_bytes: int, text_col: str) -> tuple[list[str], list[bytes]]:
-    """At most ``words`` words, those with the highest counts over all documents, and their ids in decimal."""
+def word_table(docs: DataFrame, pattern: str, fold_bytes: int, text_col: str) -> DataFrame:
+    """w, level (16 * log2 of its count): the distinct words of all documents, but for those over ``fold_bytes``."""
     found = F.explode(F.regexp_extract_all(whole_text(text_col), F.lit("(?U)" + pattern), F.lit(0)))
     counts = docs.select(found.alias("w")).where((F.octet_length("w") > 0) & (F.octet_length("w") <= fold_bytes)).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    level = F.floor(F.log2(F.col("n")) * 16).cast("int")
-    counts = materialise(counts.withColumn("level", level), "word-counts")
-    least, room = None, words
-    for row in sorted(counts.groupBy("level").count().collect(), reverse=True):  # at most 16 * 63 levels
-        room -= row["count"]
-        if room < 0:
+    return materialise(counts.select("w", F.floor(F.log2(F.col("n")) * 16).cast("int").alias("level")), "words")
+
+
+def least_level(levels: dict[int, int], words: int) -> int:
+    """The least level that at most ``words`` words reach; beyond all levels if even the highest has more."""
+    least = max(levels, default=0) + 1
+    for level in sorted(levels, reverse=True):
+        words -= levels[level]
+        if words < 0:
             break
-        least = row["level"]
-    if least is None:
-        return [], []
-    chosen = counts.where(F.col("level") >= least).select("w").repartition(shuffle_width(docs.sparkSession))
-    ids = F.get(encode_words(F.array(F.col("w").cast("binary")), ranks), F.lit(0))
-    coded = materialise(chosen.select("w", F.array_join(ids, " ").cast("binary").alias("ids")), "word-codes").toArrow()
-    return coded.column("w").to_pylist(), coded.column("ids").to_pylist()
+        least = level
+    return least
+
+
+def folded(table: DataFrame, ranks: Column) -> DataFrame:
+    """w, level, ids of a word table."""
+    spread = table.repartition(shuffle_width(table.sparkSession))
+    return spread.select("w", "level", F.get(encode_words(F.array(F.col("w").cast("binary")), ranks), F.lit(0)).alias("ids"))
+
+
+def packed(words: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted hashes of words, and where their ids begin and end among all ids (16 bits each)."""
+
+    def run(batches):
+        import pyarrow as pa
+        import xxhash
+
+        for b in batches:
+            h = np.array([xxhash.xxh3_64_intdigest(w) for w in b.column("w").to_pylist()], np.uint64).view(np.int64)
+            ids = [np.array(x, "<u2").tobytes() for x in b.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(ids, pa.binary())], ["h", "ids"])
+
+    got = words.select(F.col("w").cast("binary").alias("w"), "ids").mapInArrow(run, "h long, ids binary").toArrow()
+    h = got.column("h").to_numpy().view(np.uint64)
+    sizes = np.concatenate([[0], *(np.diff(np.frombuffer(c.buffers()[1], "<i4", len(c) + 1, 4 * c.offset)) for c in got.column("ids").chunks)]) // 2
+    ids = np.concatenate([np.zeros(0, "<u2"), *(np.frombuffer(b"".join(c.to_pylist()), "<u2") for c in got.column("ids").chunks)])
+    ends = np.cumsum(sizes)
+    order = np.argsort(h)
+    return h[order], ends[:-1][order].astype(np.uint32), ends[1:][order].astype(np.uint32), ids
 
 
 _loaded: dict = {}
@@ -162,24 +193,81 @@ def strings(ids: list[int], table: list[bytes]) -> tuple[int, bytes, bytes]:
     return len(ids), " ".join(map(str, ids)).encode(), b"".join([table[i] for i in ids])
 
 
-def coded(docs: DataFrame, vocabulary: Vocabulary, words: int, fold_bytes: int, id_col: str, text_col: str) -> tuple[DataFrame, object]:
-    """doc_id, codes, own (ids of the words that the dictionary lacks), long; and the broadcast dictionary.
+Triple = tuple[list[int], list[bytes], list[bytes]]
+
+
+def digest(codes: list[int], hot: Triple, own: Triple) -> tuple:
+    """Number of ids, SHA-256 of the decimal ids and of the decoded bytes; a code -1 - i is the own word i."""
+    n = sum([hot[0][c] if c >= 0 else own[0][-1 - c] for c in codes])
+    ids = hashlib.sha256(b" ".join([hot[1][c] if c >= 0 else own[1][-1 - c] for c in codes])).hexdigest()
+    return n, ids, hashlib.sha256(b"".join([hot[2][c] if c >= 0 else own[2][-1 - c] for c in codes])).hexdigest()
+
 
-    A code >= 0 is a dictionary word, -1 - i the text's own word i; behind the own words stand
-    the long ones, as bytes.
-    """
-    spark = docs.sparkSession
-    ranks = dict(vocabulary.items)
-    literal = rank_literal(ranks)
-    known, ids = frequent_words(docs, vocabulary.pattern, literal, words, fold_bytes, text_col)
+def token_ids(codes: list[int], hot: Triple, own: Triple) -> tuple:
+    return ([int(x) for c in codes for x in (hot[1][c] if c >= 0 else own[1][-1 - c]).split()],)
+
+
+def triple(ids: list[list[int]], table: list[bytes]) -> Triple:
+    found = [strings(x, table) for x in ids]
+    return [n for n, _, _ in found], [t for _, t, _ in found], [d for _, _, d in found]
+
+
+def encoded(docs: DataFrame, vocabulary: Vocabulary, finish, schema: str, dictionary_words: int, complete_words: int, fold_bytes: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id and what ``finish`` makes of a text's codes."""
+    spark, ranks = docs.sparkSession, dict(vocabulary.items)
     table = [b""] * (max(ranks.values(), default=-1) + 1)
     for word, i in ranks.items():
         table[i] = word
-    name = uuid.uuid4().hex
-    index_data = spark.sparkContext.broadcast((name, pickle.dumps(known)))
-    shared = spark.sparkContext.broadcast((name, pickle.dumps((ids, table))))
+    literal, name = rank_literal(ranks), uuid.uuid4().hex
+    words = word_table(docs, vocabulary.pattern, fold_bytes, text_col)
+    levels = {r["level"]: r["count"] for r in words.groupBy("level").count().collect()}  # at most 16 * 63 rows
+    least = least_level(levels, dictionary_words)
+    complete = sum(levels.values()) <= complete_words and len(table) <= 1 << 16
+    done = materialise(folded(words if complete else words.where(F.col("level") >= least), literal), "word-codes")
+    top = done.where(F.col("level") >= least).select("w", F.array_join("ids", " ").cast("binary").alias("ids")).toArrow()
+    send = spark.sparkContext.broadcast
+    index = send((name, pickle.dumps(top.column("w").to_pylist())))
+    shared = send((name, pickle.dumps((top.column("ids").to_pylist(), table))))
+    if complete:
+        rest = packed(done.where(F.col("level") < least))
+        if not (rest[0][1:] == rest[0][:-1]).any():  # two words with one hash: as good as never
+            return one_pass(docs, vocabulary, index, shared, send(rest), finish, schema, id_col, text_col)
+    return two_passes(docs, vocabulary, literal, index, shared, finish, schema, fold_bytes, id_col, text_col)
+
+
+def one_pass(docs: DataFrame, vocabulary: Vocabulary, index_data, shared, rest, finish, schema: str, id_col: str, text_col: str) -> DataFrame:
     pattern = vocabulary.pattern
 
+    def make(columns, texts):
+        import xxhash
+
+        find, index, (*hot, table) = split_words(pattern), loaded(index_data, word_index), loaded(shared, word_strings)
+        hashes, first, last, ids = rest.value
+        single = vocabulary.encoder()._encode_single_piece
+        fresh: dict[str, int] = {}
+        rows = []
+        for t in texts:
+            found = find(t.decode("utf-8", "replace"))
+            row = [index.get(w, -1) for w in found]
+            if -1 in row:
+                row = [c if c >= 0 else -1 - fresh.setdefault(w, len(fresh)) for c, w in zip(row, found, strict=True)]
+            rows.append(row)
+        raw = [w.encode() for w in fresh]
+        h = np.array([xxhash.xxh3_64_intdigest(w) for w in raw], np.uint64)
+        at = np.minimum(np.searchsorted(hashes, h), max(0, len(hashes) - 1))
+        known = (hashes[at] == h).tolist() if len(hashes) else [False] * len(raw)
+        at = at.tolist()
+        own = triple([ids[first[k] : last[k]].tolist() if hit else single(w) for w, k, hit in zip(raw, at, known, strict=True)], table)
+        out = [finish(row, hot, own) for row in rows]
+        return [columns[0], *(list(c) for c in zip(*out, strict=True))]
+
+    return map_texts(docs, [id_col], text_col, make, schema)
+
+
+def two_passes(docs: DataFrame, vocabulary: Vocabulary, literal: Column, index_data, shared, finish, schema: str, fold_bytes: int, id_col: str, text_col: str) -> DataFrame:
+    """A code -1 - i is the text's own word i; behind the own words stand the long ones, as bytes."""
+    pattern, target = vocabulary.pattern, to_arrow(schema)
+
     def first_pass(columns, texts):
         find, index = split_words(pattern), loaded(index_data, word_index)
         codes, own, long = [], [], []
@@ -188,47 +276,42 @@ def coded(docs: DataFrame, vocabulary: Vocabulary, words: int, fold_bytes: int,
             row = [index.get(w, -1) for w in found]
             fresh: dict[bytes, int] = {}
             large: dict[bytes, int] = {}
-            if -1 in row:
-                missing = [(i, found[i].encode()) for i, c in enumerate(row) if c < 0]
-                for _, w in missing:
-                    (fresh if len(w) <= fold_bytes else large).setdefault(w, len(fresh) if len(w) <= fold_bytes else len(large))
-                for i, w in missing:
-                    row[i] = -1 - (fresh[w] if w in fresh else len(fresh) + large[w])
+            missing = [(i, found[i].encode()) for i, c in enumerate(row) if c < 0] if -1 in row else []
+            for _, w in missing:
+                mine = fresh if len(w) <= fold_bytes else large
+                mine.setdefault(w, len(mine))
+            for i, w in missing:
+                row[i] = -1 - (fresh[w] if w in fresh else len(fresh) + large[w])
             codes.append(row)
             own.append(list(fresh))
             long.append(list(large))
         return [columns[0], codes, own, long]
 
-    out = map_texts(docs, [id_col], text_col, first_pass, "doc_id long, codes array<int>, own array<binary>, long array<binary>")
-    return out.select("doc_id", "codes", encode_words(F.col("own"), literal).alias("own"), "long"), shared
-
-
-def _second(docs: DataFrame, shared, vocabulary: Vocabulary, finish, schema: str) -> DataFrame:
-    target = to_arrow(schema)
-
-    def run(batches):
+    def second_pass(batches):
         import pyarrow as pa
 
         single = vocabulary.encoder()._encode_single_piece
         for b in batches:
+            *hot, table = loaded(shared, word_strings)
             for at in range(0, b.num_rows, SLICE):
                 part = b.slice(at, SLICE)
                 columns = (part.column(c).to_pylist() for c in ("doc_id", "codes", "own", "long"))
-                rows = [(doc, *finish(shared, codes, own + [single(w) for w in long])) for doc, codes, own, long in zip(*columns, strict=True)]
+                rows = [(doc, *finish(codes, hot, triple(own + [single(w) for w in long], table))) for doc, codes, own, long in zip(*columns, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), target, strict=True)], schema=target)
 
-    return docs.mapInArrow(run, schema)
+    parts = map_texts(docs, [id_col], text_col, first_pass, "doc_id long, codes array<int>, own array<binary>, long array<binary>")
+    return parts.select("doc_id", "codes", encode_words(F.col("own"), literal).alias("own"), "long").mapInArrow(second_pass, schema)
 
 
-def bpe_encode(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 300_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bpe_encode(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 200_000, complete_words: int = 4_000_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (array<int>) for each row of ``docs``."""
+    return encoded(docs, vocabulary, token_ids, "doc_id long, ids array<int>", dictionary_words, complete_words, fold_bytes, id_col, text_col)
 
-    def finish(shared, codes, own):
-        known = loaded(shared, word_strings)[1]
-        return ([i for c in codes for i in (map(int, known[c].split()) if c >= 0 else own[-1 - c])],)
 
-    parts, shared = coded(docs, vocabulary, dictionary_words, fold_bytes, id_col, text_col)
-    return _second(parts, shared, vocabulary, finish, "doc_id long, ids array<int>")
+def bpe_digests(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 200_000, complete_words: int = 4_000_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (decimal ids joined by spaces), decoded_sha256 (of the decoded ids)."""
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return encoded(docs, vocabulary, digest, schema, dictionary_words, complete_words, fold_bytes, id_col, text_col)
 
 
 def bpe_decode(tokens: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids") -> DataFrame:
@@ -237,17 +320,3 @@ def bpe_decode(tokens: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids")
     size = max((i for _, i in vocabulary.items), default=-1) + 1
     pieces = F.from_json(F.lit(json.dumps([table.get(str(i)) for i in range(size)])), "array<string>")
     return tokens.withColumn("decoded", F.unhex(let(pieces, lambda p: F.array_join(F.transform(F.col(ids_col), lambda i: F.element_at(p, i + 1)), ""))))
-
-
-def bpe_digests(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 300_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (decimal ids joined by spaces), decoded_sha256 (of the decoded ids)."""
-
-    def finish(shared, codes, own):
-        numbers, texts, decoded, table = loaded(shared, word_strings)
-        extra = [strings(ids, table) for ids in own]
-        n = sum([numbers[c] if c >= 0 else extra[-1 - c][0] for c in codes])
-        ids = hashlib.sha256(b" ".join([texts[c] if c >= 0 else extra[-1 - c][1] for c in codes])).hexdigest()
-        return n, ids, hashlib.sha256(b"".join([decoded[c] if c >= 0 else extra[-1 - c][2] for c in codes])).hexdigest()
-
-    parts, shared = coded(docs, vocabulary, dictionary_words, fold_bytes, id_col, text_col)
-    return _second(parts, shared, vocabulary, finish, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
