@@ -5,9 +5,9 @@ smaller doc_id keeps it.
 
 Seeds.  The hash of each run of ``seed`` words competes with its neighbours: in every window
 of ``length`` words the least hash is the window's anchor.  Equal windows have
-equal anchors at equal places, so documents that share ``length`` words share an anchor
-(winnowing), while only about ``2 / (length - seed + 2)`` of the positions are kept.  Consecutive windows with one
-anchor are one *seed*: (anchor hash, context hash), where the context is all that its
+equal anchors, so documents that share ``length`` words share an anchor
+(winnowing), while only about ``2 / (length - seed + 2)`` of the positions are kept.  Consecutive windows whose
+anchors have one hash are one *seed*, also where a word repeats on and on: (anchor hash, context hash), where the context is all that its
 windows cover, on both sides of the anchor.
 
 Join and extend.  Seeds meet on the anchor hash.  Most anchors occur in one document and
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_texts, materialise, whole_text
-from .shingles import BASE, MIX_A, mix, run_hashes, word_hashes
+from .shingles import BASE, mix, run_hashes, word_hashes
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -47,13 +47,12 @@ def seeds(words: list[bytes], length: int, seed: int) -> tuple[np.ndarray, ...]:
         return none, none, none.astype(np.int32), none.astype(np.int32)
     h = word_hashes(words)
     grams, windows = run_hashes(h, seed), run_hashes(h, length)
-    view = np.lib.stride_tricks.sliding_window_view(grams, length - seed + 1)
-    at = view.argmin(axis=1) + np.arange(len(windows))
-    first = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1])
-    number = np.diff(np.concatenate([first, [len(at)]]))
-    last = first + number - 1
-    context = mix(mix(windows[first] * BASE + windows[last]) * MIX_A + number.astype(np.uint64))
-    return grams[at[first]].view(np.int64), context.view(np.int64), first.astype(np.int32), number.astype(np.int32)
+    low = np.lib.stride_tricks.sliding_window_view(grams, length - seed + 1).min(axis=1)
+    first = np.concatenate([[0], np.flatnonzero(low[1:] != low[:-1]) + 1])
+    number = np.diff(np.concatenate([first, [len(low)]]))
+    place = (np.arange(len(low)) - np.repeat(first, number)).astype(np.uint64)
+    context = mix(np.add.reduceat(mix(windows + place * BASE), first))
+    return low[first].view(np.int64), context.view(np.int64), first.astype(np.int32), number.astype(np.int32)
 
 
 def window_hashes(words: list[bytes], length: int, first: list[int], number: list[int]) -> tuple[np.ndarray, np.ndarray]:
