@@ -23,7 +23,7 @@ def random_log(seed, patches, base, size=120):
     for i in range(size):
         k = r.randrange(12)
         row = (k, r.choice([None, f"x{i}"]), r.choice([None, i]))
-        kind = r.choice("IIUUDM" + ("PPP" if patches else "") + ("T" if r.random() < 0.1 else "I"))
+        kind = r.choice("IIUUDM" + ("PPPV" if patches else "") + ("T" if r.random() < 0.1 else "I"))
         if kind == "T":
             log.append(("T", None, None, None))
             state = {}
@@ -35,6 +35,11 @@ def random_log(seed, patches, base, size=120):
             log.append(("U", text((k, None, None)), text(new), None))
             state.pop(k, None)
             state[new[0]] = new
+        elif kind == "V":
+            new = ((k + 1) % 12, None, row[2])
+            log.append(("U", text((k, None, None)), text(new), [False, True, False]))
+            if k in state:
+                state[new[0]] = (new[0], state.pop(k)[1], row[2])
         elif kind == "P":
             held = [False, True, r.random() < 0.5]
             log.append(("U", None, text((k, None, row[2])), held))
@@ -54,17 +59,17 @@ def events(spark, log, start=0):
 @pytest.mark.parametrize(("seed", "patches"), [(0, False), (1, False), (2, True), (3, True), (4, True)])
 def test_random_logs(spark, seed, patches):
     base = [(k, f"b{k}", k) for k in range(7)]
-    log, wanted = random_log(seed, patches, base)
+    log, wanted = random_log(seed, patches, base, 60 if patches else 120)
     frame = spark.createDataFrame(base, "k long, a string, b int")
-    step = fold.patch if patches else fold.mirror
+    step = fold.replay if patches else fold.mirror
     assert sorted(map(tuple, step(frame, decode(events(spark, log), SHAPE), ["k"]).collect())) == wanted
 
 
 def test_split_into_batches_gives_the_same(spark):
-    log, wanted = random_log(5, True, [])
+    log, wanted = random_log(5, True, [], 80)
     frame = spark.createDataFrame([], "k long, a string, b int")
     for start in range(0, len(log), 40):
-        frame = fold.patch(frame, decode(events(spark, log[start : start + 40], start), SHAPE), ["k"])
+        frame = fold.replay(frame, decode(events(spark, log[start : start + 40], start), SHAPE), ["k"])
         frame = spark.createDataFrame(frame.collect(), "k long, a string, b int")
     assert sorted(map(tuple, frame.collect())) == wanted
 

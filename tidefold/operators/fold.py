@@ -13,14 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..plans.epochs import must_replay
+from ..scratch import shared_folder
 from .envelope import DELETE, INSERT, TRUNCATE, UPDATE
 
 
 def split_moves(changes: DataFrame, keys: list[str]) -> DataFrame:
     """An update that changes its key becomes a delete of the old key, then a write of the new row.
 
-    Columns that the update didn't send can't be carried over here: such moves have to be cut out by
-    ``plans.epochs`` first.  ``step`` orders the two halves.
+    Columns that the update didn't send can't be carried over here: ``replay`` takes such moves out
+    first.  ``step`` orders the two halves.
     """
     moved = (F.col("op") == UPDATE) & F.col("old").isNotNull()
     for_key = lambda side: F.struct(*[F.col(f"{side}.{k}").alias(k) for k in keys])
@@ -110,6 +112,49 @@ def patch(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     return survivors.unionByName(whole).unionByName(filled)
 
 
+def move(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """Updates that move a key and leave columns unsent, one per key: the new row takes those columns from the old one.
+
+    Where the old row isn't there, nothing happens: the initial load will bring the row.
+    """
+    names = base.columns
+    old = base.select(*[F.col(n).alias(f"__x_{n}") for n in names])
+    hit = None
+    for k in keys:
+        one = F.col(f"__x_{k}") == F.col(f"old.{k}")
+        hit = one if hit is None else hit & one
+    value = lambda i, n: F.when(F.get("held", F.lit(i)), F.col(f"__x_{n}")).otherwise(F.col(f"new.{n}")).alias(n)
+    found = changes.join(old, hit).select(*[value(i, n) for i, n in enumerate(names)], *[F.col(f"old.{k}").alias(f"__o_{k}") for k in keys])
+    gone = found.select(*[F.col(f"__o_{k}").alias(k) for k in keys]).union(found.select(*keys))
+    return base.join(gone, keys, "left_anti").select(*names).unionByName(found.select(*names))
+
+
+def _written(rows: DataFrame) -> DataFrame:
+    path = shared_folder(rows.sparkSession, "replay")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def replay(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """``patch``, also with moves that leave columns unsent: rare changes, each of which ends a step.
+
+    Only the places of these changes reach the driver.  Each step's rows are written to the shared
+    folder, since a step uses its base twice and plans would double.
+    """
+    moves = must_replay(changes, keys)
+    stops = [r["at"] for r in changes.where(moves).select("at").orderBy("at").collect()]
+    point = lambda p: F.struct(F.lit(p["lsn"]).cast("long").alias("lsn"), F.lit(p["seq"]).cast("long").alias("seq"))
+    last = None
+    for stop in [*stops, None]:
+        part = changes if last is None else changes.where(F.col("at") > point(last))
+        part = part if stop is None else part.where(F.col("at") < point(stop))
+        base = patch(base, part, keys)
+        if stop is not None:
+            base = _written(move(base, changes.where(F.col("at") == point(stop)), keys))
+        last = stop
+    return base
+
+
 def insert_missing(base: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """``base`` and those of ``rows`` whose key it doesn't have (initial load, refill): what the stream wrote stays."""
     return base.unionByName(rows.join(base.select(*keys), keys, "left_anti").select(*base.columns))

@@ -229,7 +229,7 @@ class Lake:
                 table["files"], table["inline"] = [], []
             self.put(table, live.where(F.col("op").isin("I", "U") & F.col("new").isNotNull()).select("new.*"), 1)
             return
-        step = fold.patch if summary["holes"] else fold.mirror
+        step = fold.replay if summary["holes"] else fold.mirror
         if summary["cut"]:
             self.replace_rows(table, step(self.rows(table, []), changes, keys))
             return
