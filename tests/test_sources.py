@@ -233,3 +233,40 @@ def test_scanner_over_jdbc(spark, tmp_path):
     assert scanner.definition("APP.GONE") is None
     assert len(scanner.load("T1", d).where("k > 1").collect()) == 2
     assert scanner.table("T1", "k", 1, 3, 2).rdd.getNumPartitions() == 2
+
+
+def test_mysql_stream_with_ddl_key_move_and_restart(spark, tmp_path):
+    import json
+
+    from tidefold.sources.datasource import EventSource, place
+
+    assert place({"file": "b.000002", "pos": 4}) > place({"file": "b.000001", "pos": 10**9})
+    spark.dataSource.register(EventSource)
+    log = tmp_path / "events"
+    table = {"type": "table_map", "table_id": 1, "schema": "shop", "table": "t", "names": ["id", "v"], "codes": [8, 15], "primary_key": [0]}
+    events = [
+        {"type": "rotate", "file": "b.000001"}, table, {"type": "query", "sql": "BEGIN"},
+        {"type": "write", "table_id": 1, "rows": [[1, "a"], [2, "b"], [3, "c"]]}, {"type": "xid", "next_pos": 100, "ms": 1000},
+        table | {"table_id": 2, "schema": "mysql"}, {"type": "write", "table_id": 2, "rows": [[1, "x"]]}, {"type": "xid", "next_pos": 150},
+        {"type": "update", "table_id": 1, "rows": [[[1, "a"], [9, {"hex": "c3a9"}]]]}, {"type": "delete", "table_id": 1, "rows": [[2, "b"]]}, {"type": "xid", "next_pos": 200},
+        {"type": "query", "sql": "ALTER TABLE t RENAME COLUMN v TO w", "schema": "shop", "next_pos": 250},
+        table | {"names": ["id", "w"]}, {"type": "write", "table_id": 1, "rows": [[4, "d"]]}, {"type": "xid", "next_pos": 300},
+    ]
+    log.write_text("".join(json.dumps(e) + "\n" for e in events))
+    lake = Lake(spark, str(tmp_path / "lake"))
+    names = iter(["v", "w"])
+    now = [next(names)]
+
+    def shape(_):
+        have = lake.manifest()["tables"].get("shop.t")
+        renamed = have and any(f["lsn"] >= place({"file": "b.000001", "pos": 250}) for f in lake.manifest()["offsets"].values())
+        return Shape("shop.t", (("id", T.LongType()), ("w" if renamed else now[0], T.StringType())), ("id",), "mysql")
+
+    mirror = Mirror(lake, "mysql", shape, Evolver(lake), dialect="mysql")
+    for _ in range(2):
+        stream = spark.readStream.format("mysql_cdc").option("path", str(log)).load()
+        q = mirror.start(stream, str(tmp_path / "c"), processingTime="0 seconds")
+        q.processAllAvailable()
+        q.stop()
+        assert {r["id"]: r["w"] for r in lake.read("shop.t").collect()} == {9: "é", 3: "c", 4: "d"}
+    assert lake.read("shop.t").columns == ["id", "w"]

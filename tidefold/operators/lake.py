@@ -158,7 +158,7 @@ class Lake:
         physical = rows.select(*[F.col(c["name"]).cast(kind(c)).alias(f"c{c['id']}") for c in table["columns"]])
         keys = [f"c{c['id']}" for c in table["columns"] if c["name"] in table["keys"]]
         if partitions:
-            physical = physical.coalesce(partitions)
+            physical = physical.repartition(partitions)
         if keys and self.sort_by_key:
             physical = (physical.repartitionByRange(*keys) if not partitions else physical).sortWithinPartitions(*keys)
         physical.write.parquet(self.store.at(folder))

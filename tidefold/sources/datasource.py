@@ -1,6 +1,6 @@
-"""``spark.readStream.format("pg_cdc")``: a logical replication stream as envelope rows.
+"""Change streams as envelope rows: ``spark.readStream.format("pg_cdc")`` and ``format("mysql_cdc")``.
 
-The transport is a file of framed messages (``path``): a live connection needs a driver that isn't
+For PostgreSQL the transport is a file of framed messages (``path``): a live connection needs a driver that isn't
 here, and would implement the same two methods.  Offsets are the LSNs at which commits end, so a micro-batch never
 splits a transaction; it closes at the first commit at or beyond ``maxRows``, and behind a
 transaction with DDL.
@@ -8,14 +8,18 @@ transaction with DDL.
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 from collections.abc import Iterator
 from datetime import UTC, datetime
+from decimal import Decimal
 
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
 from ..operators.bootstrap import capture_filter
 from ..operators.envelope import ENVELOPE
+from .binlog import Decoder as MySqlDecoder
 from .pgoutput import Decoder, Transaction
 
 FRAME = struct.Struct(">QI")
@@ -97,3 +101,87 @@ class ChangeSource(DataSource):
 
     def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
         return ChangeReader(self.options)
+
+
+class EventFile:
+    """MySQL log events as JSON lines, in the form that ``binlog.Decoder`` takes; bytes as {"hex": ...}, decimals as {"dec": ...}."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def events(self) -> Iterator[dict]:
+        with open(self.path, encoding="utf-8") as f:
+            for line in f:
+                if not line.endswith("\n"):
+                    return  # still being written
+                yield json.loads(line, object_hook=_value)
+
+
+def _value(found: dict):
+    if set(found) == {"hex"}:
+        return bytes.fromhex(found["hex"])
+    return Decimal(found["dec"]) if set(found) == {"dec"} else found
+
+
+def place(position: dict) -> int:
+    """A position of the log as one growing number: the file's number, then the byte in it."""
+    number = re.search(r"(\d+)$", position.get("file") or "0")
+    return (int(number[1]) if number else 0) << 40 | int(position.get("pos", 0))
+
+
+class EventReader(SimpleDataSourceStreamReader):
+    """Transactions and DDL statements of a MySQL log; a DDL statement, like the cap of rows, ends a micro-batch."""
+
+    def __init__(self, options: dict):
+        self.log = EventFile(options["path"])
+        self.source = options.get("source", "mysql")
+        self.max_rows = int(options.get("maxRows", "8192"))
+        self.captured = capture_filter(options.get("include", ""), options.get("exclude", ""))
+        self.start = json.loads(options.get("startPosition", "{}"))
+
+    def initialOffset(self) -> dict:
+        return {"file": self.start.get("file", ""), "pos": self.start.get("pos", 0)}
+
+    def batches(self, after: dict) -> Iterator[tuple[dict, list[tuple]]]:
+        """(position, rows) of what lies behind a position; the log is decoded from its beginning, since table maps come before rows."""
+        decoder = MySqlDecoder(self.captured, {"file": self.start.get("file", "")})
+        for event in self.log.events():
+            done = decoder.feed(event)
+            if done is None or done.position is None or place(done.position) <= place(after):
+                continue
+            at, lsn = datetime.fromtimestamp(done.commit_ms / 1000, UTC), place(done.position)
+            if done.ddl:
+                name = "ddl"
+                yield done.position, [(self.source, lsn, 0, lsn, at, name, "DDL", None, list(done.ddl), None, 0)]
+            else:
+                yield done.position, [(self.source, lsn, i, lsn, at, t, op, b, a, None, 0) for i, (t, op, b, a, _) in enumerate(done.rows)]
+
+    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
+        found, end = [], start
+        for position, rows in self.batches(start):
+            found += rows
+            end = {"file": position["file"], "pos": position.get("pos", 0)}
+            if len(found) >= self.max_rows or any(r[6] == "DDL" for r in rows):
+                break
+        return iter(found), end
+
+    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
+        for position, rows in self.batches(start):
+            if place(position) > place(end):
+                return
+            yield from rows
+
+    def commit(self, end: dict) -> None:
+        """A log server keeps its files by age; nothing is acknowledged."""
+
+
+class EventSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "mysql_cdc"
+
+    def schema(self):
+        return ENVELOPE
+
+    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
+        return EventReader(self.options)
