@@ -30,6 +30,7 @@ import hashlib
 import json
 import pickle
 import uuid
+from operator import itemgetter
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -39,8 +40,9 @@ from .common import SLICE, map_texts, materialise, shuffle_width, to_arrow, whol
 from .tokens import Vocabulary
 
 RANK_BITS = 15
-#: Stands before and after the bytes of a word; it makes no key of the rank map.
-EDGE = "-"
+#: An entry of the fold's state is rank * 2**PLACE_BITS + first byte; words are shorter than 2**PLACE_BITS bytes.
+PLACE_BITS = 9
+NO_PAIR = (2**31 - 1) << PLACE_BITS
 
 
 def bucket_of(key: bytes) -> int:
@@ -79,38 +81,40 @@ def encode_words(words: Column, ranks: Column) -> Column:
 
 
 def encode_word(word: Column, ranks: Column) -> Column:
-    """State of the fold: parts (between two edges) and the rank of each pair of neighbours, null without one."""
+    """Token ids of one binary word.
 
-    def rank(key: Column) -> Column:
+    The state of the fold has an entry for each part of the word and one for its end: the
+    rank of the part with the one behind it, and where the part begins.  The least entry
+    is the next merge, the leftmost among equal ranks.  A merge removes the entry behind it and
+    renews two.
+    """
+    n, digits = F.octet_length(word), F.hex(word)
+
+    def rank(first: Column, end: Column) -> Column:
+        key = F.substring(digits, 2 * first + 1, 2 * (end - first))
         return F.try_element_at(F.get(ranks, F.shiftrightunsigned(F.hash(key), 32 - RANK_BITS)), key)
 
-    def joined(parts: Column, known: Column, p: Column) -> Column:
-        new = F.concat(F.get(parts, p - 1), F.get(parts, p))
+    def place(entry: Column) -> Column:
+        return entry.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
 
-        def around(b: Column) -> Column:
-            both = F.array(rank(F.concat(F.get(parts, p - 2), b)), rank(F.concat(b, F.get(parts, p + 1))))
-            size = F.size(known)
-            return F.struct(
-                F.flatten(F.array(F.slice(parts, F.lit(1), p - 1), F.array(b), F.slice(parts, p + 2, size))).alias("parts"),
-                F.flatten(F.array(F.slice(known, F.lit(1), p - 2), both, F.slice(known, p + 2, size))).alias("ranks"),
-            )
+    def entry(first: Column, found: Column) -> Column:
+        return F.coalesce(found.cast("long") * (1 << PLACE_BITS), F.lit(NO_PAIR).cast("long")) + first
 
-        return let(new, around)
+    def merged(state: Column, least: Column, p: Column) -> Column:
+        at = lambda i: place(F.get(state, i))  # noqa: E731  null beyond the end, which has no rank
+        left = entry(at(p - 2), rank(at(p - 2), at(p + 1)))
+        own = entry(place(least), rank(place(least), at(p + 2)))
+        rest = F.filter(state, lambda x, i: i != p)
+        return F.transform(rest, lambda x, i: F.when((i < p - 2) | (i >= p), x).when(i == p - 1, own).otherwise(left))
 
     def step(state: Column, _: Column) -> Column:
-        parts, known = state["parts"], state["ranks"]
-        place = F.array_position(known, F.array_min(known)).cast("int")
-        return let(place, lambda p: F.when(p > 0, joined(parts, known, p)).otherwise(state))
-
-    n = F.octet_length(word)
-    digits = F.hex(word)
-    edge, none = F.array(F.lit(EDGE)), F.array(F.lit(None).cast("int"))
-    single = F.concat(edge, F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(digits, 2 * i - 1, F.lit(2))), edge)
-    pairs = F.concat(none, F.transform(F.sequence(F.lit(1), n - 1), lambda i: rank(F.substring(digits, 2 * i - 1, F.lit(4)))), none)
-    start = F.struct(single.alias("parts"), pairs.alias("ranks"))
-    last = lambda s: F.transform(F.slice(s["parts"], F.lit(2), F.size(s["parts"]) - 2), rank)
+        merge = lambda least: let(F.array_position(state, least).cast("int"), lambda p: merged(state, least, p))
+        return let(F.array_min(state), lambda least: F.when(least < NO_PAIR, merge(least)).otherwise(state))
+
+    start = F.transform(F.sequence(F.lit(0), n), lambda i: entry(i, F.when(i < n - 1, rank(i, i + 2))))
+    last = lambda s: F.transform(F.slice(s, 1, F.size(s) - 1), lambda x, i: rank(place(x), place(F.get(s, i + 1))))
     folded = F.aggregate(F.sequence(F.lit(1), n - 1), start, step, last)
-    whole = rank(digits)
+    whole = rank(F.lit(0), n)
     return F.when(n == 0, F.array().cast("array<int>")).when(whole.isNotNull() | (n == 1), F.array(whole)).otherwise(folded)
 
 
@@ -179,41 +183,54 @@ def loaded(shared, make):
     return _loaded[key]
 
 
-def word_index(words: list[str]) -> dict[str, int]:
-    return {w: i for i, w in enumerate(words)}
+class Index(dict):
+    """Dictionary word -> code.  Words that it lacks get the codes behind its own until ``own`` is renewed."""
 
+    own: dict[str, int]
 
-def word_strings(data: tuple[list[bytes], list[bytes]]) -> tuple[list[int], list[bytes], list[bytes], list[bytes]]:
-    """Per dictionary word: number of ids, the ids in decimal, and the bytes that the ids decode to; and the byte string of each id."""
-    ids, table = data
-    return [x.count(b" ") + 1 for x in ids], ids, [b"".join([table[int(i)] for i in x.split()]) for x in ids], table
+    def __missing__(self, word: str) -> int:
+        return self.own.setdefault(word, len(self) + len(self.own))
+
+    def codes(self, words: list[str]) -> tuple[int, ...]:
+        return pick(self, words)
 
 
-def strings(ids: list[int], table: list[bytes]) -> tuple[int, bytes, bytes]:
-    return len(ids), " ".join(map(str, ids)).encode(), b"".join([table[i] for i in ids])
+def pick(source, keys: list) -> tuple:
+    """``source[k]`` for each key, in one call."""
+    return itemgetter(*keys)(source) if len(keys) > 1 else tuple(source[k] for k in keys)
 
 
-Triple = tuple[list[int], list[bytes], list[bytes]]
+def word_index(words: list[str]) -> Index:
+    return Index(zip(words, range(len(words)), strict=True))
 
 
-def digest(codes: list[int], hot: Triple, own: Triple) -> tuple:
-    """Number of ids, SHA-256 of the decimal ids and of the decoded bytes; a code -1 - i is the own word i."""
-    n = sum([hot[0][c] if c >= 0 else own[0][-1 - c] for c in codes])
-    ids = hashlib.sha256(b" ".join([hot[1][c] if c >= 0 else own[1][-1 - c] for c in codes])).hexdigest()
-    return n, ids, hashlib.sha256(b"".join([hot[2][c] if c >= 0 else own[2][-1 - c] for c in codes])).hexdigest()
+def word_strings(data: tuple[list[bytes], list[bytes]]) -> tuple[list[bytes], list[bytes], list[bytes]]:
+    """Per dictionary word the ids in decimal and the bytes that they decode to; and the byte string of each id."""
+    ids, table = data
+    return ids, [b"".join([table[int(i)] for i in x.split()]) for x in ids], table
+
 
+def digest(codes: tuple[int, ...], ids: list[bytes], decoded: list[bytes]) -> tuple:
+    """Number of ids, SHA-256 of the decimal ids and of the decoded bytes, from both of each code."""
+    joined = b" ".join(pick(ids, codes))
+    n = joined.count(b" ") + 1 if joined else 0
+    return n, hashlib.sha256(joined).hexdigest(), hashlib.sha256(b"".join(pick(decoded, codes))).hexdigest()
 
-def token_ids(codes: list[int], hot: Triple, own: Triple) -> tuple:
-    return ([int(x) for c in codes for x in (hot[1][c] if c >= 0 else own[1][-1 - c]).split()],)
 
+def token_ids(codes: tuple[int, ...], ids: list[bytes], decoded: list[bytes]) -> tuple:
+    return ([int(x) for c in codes for x in ids[c].split()],)
 
-def triple(ids: list[list[int]], table: list[bytes]) -> Triple:
-    found = [strings(x, table) for x in ids]
-    return [n for n, _, _ in found], [t for _, t, _ in found], [d for _, _, d in found]
+
+def extended(hot: list[list[bytes]], own: list[list[int]], table: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+    """Decimal ids and decoded bytes of the dictionary words and, behind them, of a batch's own words."""
+    decimal = [" ".join(map(str, x)).encode() for x in own]
+    return hot[0] + decimal, hot[1] + [b"".join(pick(table, x)) for x in own]
 
 
 def encoded(docs: DataFrame, vocabulary: Vocabulary, finish, schema: str, dictionary_words: int, complete_words: int, fold_bytes: int, id_col: str, text_col: str) -> DataFrame:
     """doc_id and what ``finish`` makes of a text's codes."""
+    if fold_bytes >= 1 << PLACE_BITS:
+        raise ValueError(f"words to fold have fewer than {1 << PLACE_BITS} bytes")
     spark, ranks = docs.sparkSession, dict(vocabulary.items)
     table = [b""] * (max(ranks.values(), default=-1) + 1)
     for word, i in ranks.items():
@@ -244,47 +261,41 @@ def one_pass(docs: DataFrame, vocabulary: Vocabulary, index_data, shared, rest,
         find, index, (*hot, table) = split_words(pattern), loaded(index_data, word_index), loaded(shared, word_strings)
         hashes, first, last, ids = rest.value
         single = vocabulary.encoder()._encode_single_piece
-        fresh: dict[str, int] = {}
-        rows = []
-        for t in texts:
-            found = find(t.decode("utf-8", "replace"))
-            row = [index.get(w, -1) for w in found]
-            if -1 in row:
-                row = [c if c >= 0 else -1 - fresh.setdefault(w, len(fresh)) for c, w in zip(row, found, strict=True)]
-            rows.append(row)
-        raw = [w.encode() for w in fresh]
+        index.own = {}
+        rows = [index.codes(find(t.decode("utf-8", "replace"))) for t in texts]
+        raw = [w.encode() for w in index.own]
         h = np.array([xxhash.xxh3_64_intdigest(w) for w in raw], np.uint64)
         at = np.minimum(np.searchsorted(hashes, h), max(0, len(hashes) - 1))
         known = (hashes[at] == h).tolist() if len(hashes) else [False] * len(raw)
-        at = at.tolist()
-        own = triple([ids[first[k] : last[k]].tolist() if hit else single(w) for w, k, hit in zip(raw, at, known, strict=True)], table)
-        out = [finish(row, hot, own) for row in rows]
+        own = [ids[first[k] : last[k]].tolist() if hit else single(w) for w, k, hit in zip(raw, at.tolist(), known, strict=True)]
+        both = extended(hot, own, table)
+        out = [finish(row, *both) for row in rows]
         return [columns[0], *(list(c) for c in zip(*out, strict=True))]
 
     return map_texts(docs, [id_col], text_col, make, schema)
 
 
 def two_passes(docs: DataFrame, vocabulary: Vocabulary, literal: Column, index_data, shared, finish, schema: str, fold_bytes: int, id_col: str, text_col: str) -> DataFrame:
-    """A code -1 - i is the text's own word i; behind the own words stand the long ones, as bytes."""
+    """Codes behind the dictionary's are the text's own words, first those to fold, then the long ones."""
     pattern, target = vocabulary.pattern, to_arrow(schema)
 
     def first_pass(columns, texts):
         find, index = split_words(pattern), loaded(index_data, word_index)
         codes, own, long = [], [], []
         for t in texts:
-            found = find(t.decode("utf-8", "replace"))
-            row = [index.get(w, -1) for w in found]
-            fresh: dict[bytes, int] = {}
-            large: dict[bytes, int] = {}
-            missing = [(i, found[i].encode()) for i, c in enumerate(row) if c < 0] if -1 in row else []
-            for _, w in missing:
-                mine = fresh if len(w) <= fold_bytes else large
-                mine.setdefault(w, len(mine))
-            for i, w in missing:
-                row[i] = -1 - (fresh[w] if w in fresh else len(fresh) + large[w])
+            index.own = {}
+            row = index.codes(find(t.decode("utf-8", "replace")))
+            raw = [w.encode() for w in index.own]
+            short = [w for w in raw if len(w) <= fold_bytes]
+            if len(short) < len(raw):
+                large = [w for w in raw if len(w) > fold_bytes]
+                place = {w: len(index) + i for i, w in enumerate(short + large)}
+                row = [c if c < len(index) else place[raw[c - len(index)]] for c in row]
+                long.append(large)
+            else:
+                long.append([])
             codes.append(row)
-            own.append(list(fresh))
-            long.append(list(large))
+            own.append(short)
         return [columns[0], codes, own, long]
 
     def second_pass(batches):
@@ -295,8 +306,13 @@ def two_passes(docs: DataFrame, vocabulary: Vocabulary, literal: Column, index_d
             *hot, table = loaded(shared, word_strings)
             for at in range(0, b.num_rows, SLICE):
                 part = b.slice(at, SLICE)
-                columns = (part.column(c).to_pylist() for c in ("doc_id", "codes", "own", "long"))
-                rows = [(doc, *finish(codes, hot, triple(own + [single(w) for w in long], table))) for doc, codes, own, long in zip(*columns, strict=True)]
+                words = [own + [single(w) for w in long] for own, long in zip(part.column("own").to_pylist(), part.column("long").to_pylist(), strict=True)]
+                both = extended(hot, [ids for own in words for ids in own], table)
+                before = np.cumsum([0, *map(len, words)])  # a text's own words stand behind those of the texts before it
+                rows = []
+                for doc, codes, shift in zip(part.column("doc_id").to_pylist(), part.column("codes"), before, strict=False):
+                    row = codes.values.to_numpy()
+                    rows.append((doc, *finish(np.where(row < len(hot[0]), row, row + shift).tolist(), *both)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), target, strict=True)], schema=target)
 
     parts = map_texts(docs, [id_col], text_col, first_pass, "doc_id long, codes array<int>, own array<binary>, long array<binary>")
