@@ -136,6 +136,14 @@ def test_substring_dedup_random(spark):
     assert sorted(got) == sorted(repeats_by_force(source, 12))
 
 
+def test_substring_dedup_of_words_that_go_on_and_on(spark):
+    """One word or a short cycle repeated: all windows have one anchor hash, and a run is longer than a window."""
+    source = [(3, "to " * 120), (1, "x " + "to " * 90 + "y"), (2, "a b " * 60), (7, "c " + "a b " * 55 + "d"), (5, "to " * 49), (9, "b a " * 40), (4, "a b c " * 40)]
+    df = spark.createDataFrame(source, "doc_id long, text string")
+    got = rows(substring_dedup(df), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert sorted(got) == sorted(repeats_by_force(source, 50)) and sum(n for _, _, n, _ in got) > 200
+
+
 def test_spans_and_cuts():
     assert spans(5, [0, 20], [2, 1], [3, 40]) == [(0, 8), (20, 25), (40, 45)]
     assert cut_spans(b"a  b\tc d\ne", [(1, 3)]) == (b"a d e", b"a\nd\ne")

@@ -125,22 +125,27 @@ def substring_dedup(docs: DataFrame, length: int = 50, seed: int = 16, id_col: s
     split = touched.select("doc_id", "row", "text", part_of(False, "s").alias("s"), part_of(False, "n").alias("n"))
 
     def second_pass(columns, batch):
-        pairs = [window_hashes(t.split(), length, s, n) for t, s, n in zip(batch, columns[2], columns[3], strict=True)]
-        return [columns[0], columns[1], [a for a, _ in pairs], [b for _, b in pairs]]
+        found = [np.unique(window_hashes(t.split(), length, s, n)[1]) for t, s, n in zip(batch, columns[2], columns[3], strict=True)]
+        return [columns[0], columns[1], found]
 
-    windows = map_texts(split.where(F.size("s") > 0), ["doc_id", "row", "s", "n"], "text", second_pass, "doc_id long, row long, starts array<int>, hashes array<long>")
+    windows = map_texts(split.where(F.size("s") > 0), ["doc_id", "row", "s", "n"], "text", second_pass, "doc_id long, row long, hashes array<long>")
     windows = materialise(windows, "windows")
-    flat = windows.select("doc_id", "row", F.explode(F.arrays_zip("starts", "hashes")).alias("z"))
-    flat = flat.select("doc_id", "row", F.col("z.starts").alias("s"), F.col("z.hashes").alias("w"))
+    flat = windows.select("doc_id", "row", F.explode("hashes").alias("w"))  # a window that comes again in its text counts once
     origin = flat.groupBy("w").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("w", "lo")
-    repeats = flat.join(origin, "w").where(F.col("lo") < F.col("doc_id")).groupBy("doc_id", "row").agg(F.collect_list("s").alias("starts"))
+    repeats = flat.join(origin, "w").where(F.col("lo") < F.col("doc_id")).groupBy("doc_id", "row").agg(F.collect_list("w").alias("again"))
 
-    final = touched.join(repeats, ["doc_id", "row"], "left").select("doc_id", "row", "text", part_of(True, "s").alias("s"), part_of(True, "n").alias("n"), "starts")
+    final = touched.join(repeats, ["doc_id", "row"], "left").select(
+        "doc_id", "row", "text", part_of(True, "s").alias("s"), part_of(True, "n").alias("n"), part_of(False, "s").alias("ps"), part_of(False, "n").alias("pn"), "again"
+    )
 
     def last_pass(columns, batch):
         out = [[] for _ in range(4)]
-        for t, s, n, starts in zip(batch, *columns[2:], strict=True):
-            found = spans(length, s, n, starts or [])
+        for t, s, n, part_s, part_n, again in zip(batch, *columns[2:], strict=True):
+            single: list[int] = []
+            if again:
+                starts, hashes = window_hashes(t.split(), length, part_s, part_n)
+                single = starts[np.isin(hashes, np.array(again, np.int64))].tolist()
+            found = spans(length, s, n, single)
             kept, new = cut_spans(t, found)
             removed = sum(b - a for a, b in found)
             for column, value in zip(out, (removed, [{"start": a, "end": b} for a, b in found], hashlib.sha256(kept).hexdigest(), new.decode("utf-8", "replace") if found else None), strict=True):
@@ -148,7 +153,7 @@ def substring_dedup(docs: DataFrame, length: int = 50, seed: int = 16, id_col: s
         return [columns[0], columns[1], *out]
 
     changed = map_texts(
-        final, ["doc_id", "row", "s", "n", "starts"], "text", last_pass,
+        final, ["doc_id", "row", "s", "n", "ps", "pn", "again"], "text", last_pass,
         "id long, r long, n_removed long, spans array<struct<start:int,end:int>>, kept string, new_text string",
     ).where("n_removed > 0")
     same = (F.col("doc_id") == F.col("id")) & (F.col("row") == F.col("r"))
