@@ -121,6 +121,22 @@ def test_pack(docs, library):
     assert len(places) <= 1.05 * sum(r[3] for r in got) / 256 + 1
 
 
+def test_pack_takes_added_tokens_as_the_library_does(spark):
+    """The library as the contract calls it, with nothing set."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y \n", "<|endoftext| >", "a  <|endoftext|>\n\n<|ENDOFTEXT|>", "no marker"]
+    texts.append("one two three <|endoftext|> " * 30)
+    got = rows(pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), vocabulary("byte_bpe_50k.json"), max_tokens=32), "doc_id", "piece", "start", "length", "ids_crc32")
+    wanted = []
+    for i, t in enumerate(texts):
+        ids = np.array([*plain.encode(t, add_special_tokens=False).ids, 0], dtype="<u4")
+        wanted += [(i, *p.values()) for p in cut(ids, 32)]
+    assert sorted(got) == sorted(wanted)
+
+
 def test_pack_nothing(nothing):
     assert pack(nothing, vocabulary("byte_bpe_50k.json")).count() == 0
 

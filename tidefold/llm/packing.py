@@ -116,7 +116,7 @@ def token_pieces(docs: DataFrame, vocabulary: Vocabulary, max_tokens: int, end_i
 
     def make(columns, texts):
         encode = vocabulary.encoder().encode_to_numpy
-        ids = (np.concatenate([encode(t.decode("utf-8", "replace"), disallowed_special=()), end]) for t in texts)
+        ids = (np.concatenate([encode(t.decode("utf-8", "replace"), allowed_special="all"), end]) for t in texts)
         return [columns[0], [cut(x, max_tokens) for x in ids]]
 
     return map_texts(docs, [id_col], text_col, make, PIECES)
