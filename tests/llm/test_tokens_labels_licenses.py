@@ -7,7 +7,7 @@ import pytest
 
 from tidefold.llm.bpe import bpe_decode, bpe_digests, bpe_encode
 from tidefold.llm.labelled import training_rows
-from tidefold.llm.license_scan import BASE_PHRASES, evaluate, license_scan
+from tidefold.llm.license_scan import BASE_PHRASES, automaton, evaluate, license_scan, scan_text
 from tidefold.llm.packing import cut, pack, pack_classes, place
 from tidefold.llm.quality import Embeddings, fit_quality, keep_good, score_texts
 from tidefold.llm.queries import vocabulary
@@ -222,5 +222,29 @@ def test_license_expressions(spark):
     assert got[3]["n_words"] == 0 and got[4]["starts"] == [] and got[4]["score"] == 0.0
 
 
+@pytest.mark.parametrize(
+    ("text", "labels", "score"),
+    [
+        ("SPDX-License-Identifier: MIT, see LICENSE", ["mit"], 1.0),
+        ("SPDX-License-Identifier: MIT.", ["mit"], 1.0),
+        ("SPDX-License-Identifier: GPL-2.0+ SPDX-License-Identifier: MIT OR SPDX-License-Identifier: Apache-2.0", ["apache-2.0", "gpl-2.0+", "mit"], 1.0),
+        ("(SPDX-License-Identifier: (MIT OR ISC) AND Zlib) and more", ["isc", "mit", "zlib"], 1.0),
+        ("# SPDX-License-Identifier: MIT Permission is hereby granted # SPDX-License-Identifier: X11", ["mit", "x11"], 1.0),
+        ("SPDX-License-Identifier:\r\n * MIT OR X11\n * more", ["mit", "x11"], 1.0),
+        ("SPDX-License-Identifier: MIT AND (see LICENSE)", ["mit"], 1.0),
+        ("SPDX-License-Identifier:\nimport os", [], 0.3),
+        ("SPDX-License-Identifier: (MIT OR\nISC)", [], 0.3),
+        ("SPDX-License-Identifier: MIT OR */", [], 0.3),
+        ("SPDX-License-Identifier: , MIT", [], 0.3),
+        ("SPDX-License-Identifier: MIT\nand prose", ["mit"], 1.0),
+        ("SPDX-License-Identifier: MIT/ISC", [], 0.3),
+        ("SPDX-License-Identifiers: MIT spdx license identifier", [], 0.3),
+    ],
+)
+def test_expressions_end_where_the_grammar_ends(text, labels, score):
+    _, _, _, got, _, strongest = scan_text(automaton(), text.encode())
+    assert (got, strongest) == (labels, score)
+
+
 def test_license_of_nothing(nothing):
     assert license_scan(nothing).count() == 0

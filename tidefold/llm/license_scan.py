@@ -3,8 +3,10 @@
 A text is reduced to its words (runs of digits, a-z after lower-casing A-Z, and characters
 beyond ASCII), joined by single spaces.  One automaton holds all notice phrases and the
 identifier tag, each with a space at both ends, so every match is a match of whole words;
-overlapping matches are all reported.  Where the tag matches, the expressions behind it are
-taken from the original text and evaluated: ``or`` binds weakest, then ``and``, then
+overlapping matches are all reported.  Where the tag matches, the expression behind each tag is
+taken from the original text and evaluated.  It ends where the grammar ends (prose, punctuation, the next
+tag) and at the line's end; behind a tag that ends its line it is read from the next line, unless prose goes on
+there.  A word of prose behind an operator ("MIT or later") can't be told from an identifier.  ``or`` binds weakest, then ``and``, then
 ``with``; parentheses group.  An expression yields the identifiers it names and a
 restriction level: ``or`` lets the reader choose (the lower level), ``and`` binds them to
 both (the higher), ``with`` takes one level off.
@@ -14,7 +16,7 @@ Score: the strongest evidence in the text: 1.0 a tag with a well-formed expressi
 
 Defined results: a null or empty text has no words and no labels (empty strings, null
 positions, score 0); repeated rows give repeated results; extra columns are ignored; an expression
-that can't be parsed yields no labels.
+that can't be parsed, or that a line's end cuts off behind an operator or within brackets, yields no labels.
 """
 
 from __future__ import annotations
@@ -45,7 +47,13 @@ MORE_PHRASES = {
     "all rights reserved": "all-rights-reserved",
 }
 TAG = "spdx license identifier"
-TAG_LINE = re.compile(rb"spdx[^0-9a-z\x80-\xff]+license[^0-9a-z\x80-\xff]+identifier[ \t]*[:=]?[ \t]*([^\r\n]*)", re.I)
+_WORD, _GAP = rb"[0-9a-z\x80-\xff]", rb"[^0-9a-z\x80-\xff]+"
+TAG_MARK = re.compile(rb"(?<!" + _WORD + rb")spdx" + _GAP + rb"license" + _GAP + rb"identifier(?!" + _WORD + rb")[ \t]*[:=]?[ \t]*", re.I)
+LINE = re.compile(rb"[^\r\n]*")
+NEXT_LINE = re.compile(rb"\r?\n[ \t*#;/!-]*")  # with what opens a line of a comment
+CLOSER = re.compile(r"\s*(\*/|-->|#}|%>).*$")
+SPACE = re.compile(r"\s*")
+OPERAND = re.compile(r"[0-9a-z][0-9a-z.+:-]*", re.I | re.A)
 RESTRICTION = {"agpl": 3, "gpl": 3, "lgpl": 2, "mpl": 2, "epl": 2, "cc-by-nc": 3, "cc-by-sa": 2}
 BINDS = {"or": 1, "and": 2, "with": 3}
 
@@ -106,6 +114,68 @@ def evaluate(expression: str) -> tuple[list[str], int] | None:
     return sorted(names), level
 
 
+def leading_expression(line: str, cut_off: bool = True) -> str | None:
+    """The longest well-formed expression at the beginning of ``line``; None if there is none.
+
+    cut_off: the line's end is an end of line, so an operator or an open bracket there means that a part is missing.
+    """
+    at, good, depth, operand = 0, 0, 0, True
+    while True:
+        at = SPACE.match(line, at).end()
+        if at == len(line):
+            if cut_off and (operand or depth):
+                return None
+            break
+        if line[at] in "()":
+            if operand != (line[at] == "("):
+                break
+            depth += 1 if operand else -1
+            if depth < 0:
+                break
+            at += 1
+        else:
+            m = OPERAND.match(line, at)
+            after = line[m.end() : m.end() + 1] if m else ""
+            if not m or after in ("_", "/", "@") or after > "\x7f":
+                break
+            name = m[0].rstrip(".:-")
+            binds = name.lower() in BINDS
+            if operand == binds:
+                break
+            operand, at = binds, at + len(name)
+            if not operand and not depth:
+                good = at
+            if len(name) < len(m[0]):
+                break  # punctuation
+            continue
+        if not operand and not depth:
+            good = at
+    return line[:good].strip() or None
+
+
+def tag_expressions(text: bytes):
+    """What each tag of a text says: (the expression, or what stands in its place, its value or None)."""
+    marks = list(TAG_MARK.finditer(text))
+    for i, m in enumerate(marks):
+        stop = marks[i + 1].start() if i + 1 < len(marks) else len(text)
+
+        def line_at(start: int, stop: int = stop) -> tuple[str, bool]:
+            end = LINE.match(text, start, stop).end()
+            whole = text[start:end].decode("utf-8", "replace")
+            said = CLOSER.sub("", whole)
+            return said.strip(), end < stop or stop == len(text) or said != whole
+
+        said, cut_off = line_at(m.end())
+        found = leading_expression(said, cut_off)
+        more = NEXT_LINE.match(text, m.end(), stop)
+        if not said and more:
+            below, cut_off = line_at(more.end())
+            found = leading_expression(below, cut_off)
+            rest = below[len(found) :].lstrip() if found else ""
+            found = None if rest[:1] == "_" or rest[:1].isalnum() else found
+        yield (found, evaluate(found)) if found else (said, None)
+
+
 def automaton():
     import ahocorasick
 
@@ -130,9 +200,7 @@ def scan_text(auto, text: bytes) -> tuple:
             more.add(label)
             score = max(score, 0.6)
         elif not expressions:  # one look at the original text reads all its tags
-            for m in TAG_LINE.finditer(text):
-                said = re.sub(r"\s*(\*/|-->|#}|%>).*$", "", m[1].decode("utf-8", "replace")).strip()
-                value = evaluate(said)
+            for said, value in tag_expressions(text):
                 expressions.append((said, value[0] if value else [], value[1] if value else None))
                 more.update(value[0] if value else ())
                 score = max(score, 1.0 if value else 0.3)
