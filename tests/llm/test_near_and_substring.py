@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tidefold.llm.components import components
-from tidefold.llm.minhash import joining_links, multipliers, near_groups, signature
+from tidefold.llm.minhash import band_keys, joining_links, multipliers, near_groups, rare_keys, signature
 from tidefold.llm.shingles import run_hashes, shingle_set
 from tidefold.llm.substring_dedup import cut_spans, seeds, spans, substring_dedup
 from tidefold.llm.topk import threshold_search, top_k
@@ -65,6 +65,30 @@ def test_near_chain_whose_ends_are_far(spark):
     assert {i: c for i, c in rows(near_groups(df, block=2), "doc_id", "component_id")} == {i: c for i, (_, c) in wanted.items()}
 
 
+def test_small_sets_without_a_common_band(spark):
+    """3 of 4 shingles are shared, but no band is."""
+    texts = [w[: len(w) - cut] for w in ("w39 w82 w342 w791 w445 w509 w373 w240", "w496 w765 w310 w387 w384 w774 w143 w125") for cut in (0, 5)]
+    bands = [set(band_keys(signature(shingle_set(t.encode().split()), multipliers(64)), 4).tolist()) for t in texts]
+    assert [len(shingle_set(t.encode().split())) for t in texts] == [4, 3, 4, 3] and not bands[0] & bands[1] and not bands[2] & bands[3]
+    r = random.Random(5)
+    texts += [" ".join(f"w{r.randrange(3)}" for _ in range(r.randrange(5, 12))) for _ in range(150)]
+    source = list(enumerate(texts))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_groups(spark.createDataFrame(source, "doc_id long, text string")).collect()}
+    assert got == near_by_force(source) and got[1][1] == 0 and got[3][1] == 2
+
+
+@pytest.mark.parametrize("percent", [50, 75, 100])
+def test_rare_keys_miss_no_pair(spark, percent):
+    r = random.Random(percent)
+    sets = [sorted(r.sample(range(12), r.randrange(1, 9))) for _ in range(120)]
+    df = spark.createDataFrame(list(enumerate(sets)), "node long, small array<long>")
+    keys = defaultdict(set)
+    for node, key in rows(rare_keys(df, percent), "node", "key"):
+        keys[node].add(key)
+    pairs = [(a, b) for a in range(120) for b in range(a) if 100 * len({*sets[a]} & {*sets[b]}) >= percent * len({*sets[a]} | {*sets[b]})]
+    assert pairs and all(keys[a] & keys[b] for a, b in pairs)
+
+
 def test_tiles_find_every_joining_link():
     r = np.random.default_rng(1)
     base = r.integers(0, 2**60, 50)
