@@ -191,6 +191,23 @@ def test_threshold_search_ties_and_small_tables():
             assert sorted((-int(s), int(ids[j])) for j, s in zip(at, score, strict=True)) == wanted
 
 
+def test_threshold_search_scores_only_what_it_meets(monkeypatch):
+    """Long lists with a few large values: the threshold falls below the kth score long before the lists end."""
+    from tidefold.llm import topk
+
+    r = np.random.default_rng(2)
+    c = r.integers(-2, 3, (4000, 4))
+    c[:60] *= 40
+    q, ids, own = r.integers(1, 4, (30, 4)) * r.choice([-1, 1], (30, 4)), np.arange(4000), np.arange(30) + 3900
+    scored, real = [], topk.random_access
+    monkeypatch.setattr(topk, "random_access", lambda *given: scored.append((len(given[0]), given[3])) or real(*given))
+    found = threshold_search(q, c, own, ids, 5)
+    met = np.concatenate([x for _, x in scored])
+    assert len(met) == len(set(met.tolist())) and sum(n * len(x) for n, x in scored) < 0.7 * 30 * 4000
+    for i, (_, score) in enumerate(found):
+        assert sorted(score) == sorted(np.delete(c @ q[i], own[i]))[-5:]
+
+
 def test_top_k(spark):
     r = np.random.default_rng(2)
     vectors = [(i, [float(x) for x in r.normal(size=6)], i) for i in range(90)]

@@ -6,8 +6,8 @@ all queries or all candidates).  For its candidates a task keeps one list per di
 sorted by value; a query reads it from the top where its weight is positive and from the bottom
 where it is negative.  Rounds of sorted access double the depth.  After each round
 
-* the candidates met on any list have been scored (random access; for a whole block of queries at once, as
-  one matrix product),
+* the candidates newly met by a query that goes on are scored (random access: their rows are gathered and multiplied with
+  those queries as one matrix product); no others are,
 * the threshold is the score of an imagined candidate that has the frontier value in every list,
 * a query stops when its threshold is below its kth score: no candidate that it hasn't met
   can enter its result, not even on a tie.
@@ -32,6 +32,13 @@ from .common import materialise
 RESULT = "query_id long, vec_id long, score long"
 
 
+def random_access(queries: np.ndarray, candidates: np.ndarray, own: np.ndarray, ids: np.ndarray, kind: type) -> np.ndarray:
+    """The score of each query with each candidate; a query's own id gets none."""
+    scores = queries.astype(kind) @ candidates.T.astype(kind)
+    scores[own[:, None] == ids[None, :]] = -np.inf
+    return scores
+
+
 def threshold_search(queries: np.ndarray, candidates: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int, first_depth: float = 1 / 16) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each query the (rows of candidates, scores) of its k best, in any order.
 
@@ -52,8 +59,8 @@ def threshold_search(queries: np.ndarray, candidates: np.ndarray, own: np.ndarra
     up, down = packed(queries > 0), packed(queries < 0)
     large = float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0)) * dims
     kind = np.float32 if large < 2**24 else np.float64
-    scores = queries.astype(kind) @ candidates.T.astype(kind)
-    scores[own[:, None] == ids[None, :]] = -np.inf
+    scores = np.full((len(queries), n), -np.inf, kind)
+    scored = np.zeros(n, bool)
     found: list = [None] * len(queries)
     active = np.arange(len(queries))
     depth = max(k, int(n * first_depth))
@@ -65,6 +72,10 @@ def threshold_search(queries: np.ndarray, candidates: np.ndarray, own: np.ndarra
             met |= ((u[active, None] & t[None, :]) | (d[active, None] & b[None, :])) != 0
         if depth == n:
             met[:] = True  # a query of zeros reads no list
+        fresh = np.flatnonzero(met.any(axis=0) & ~scored)
+        if len(fresh):
+            scores[np.ix_(active, fresh)] = random_access(queries[active], candidates[fresh], own[active], ids[fresh], kind)
+            scored[fresh] = True
         seen = np.where(met, scores[active], -np.inf)
         kth = np.partition(seen, n - k, axis=1)[:, n - k] if n > k else np.full(len(active), -np.inf, kind)
         q = queries[active]
