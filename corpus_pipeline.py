@@ -53,8 +53,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as token sequences, packed best-fit."""
-    return pack(docs, vocabulary("byte_bpe_50k.json"), max_tokens=SEQUENCE_TOKENS)
+    """The documents as token sequences, packed best-fit; the capacities besides tokens only take part in the choice."""
+    return pack(docs, vocabulary("byte_bpe_50k.json"), max_tokens=SEQUENCE_TOKENS, max_docs=SEQUENCE_TOKENS, max_cost=SEQUENCE_TOKENS**2)
 
 
 STAGES = [

@@ -92,6 +92,24 @@ def test_classes_pack_like_piece_by_piece(choose, docs_at_most, cost):
         assert np.bincount(sequence, weights=order.astype(float) ** 2).max() <= cost
 
 
+def test_registered_packings_use_all_components(spark, monkeypatch):
+    """The query and the pipeline choose by tokens, documents and cost; by capacities that cost no sequence."""
+    import corpus_pipeline
+    from tidefold.llm import packing, queries
+
+    given, real = [], packing.pack_classes
+    monkeypatch.setattr(packing, "pack_classes", lambda *x: given.append(x) or real(*x))
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for df in (queries.op2_best_fit_packing(spark, folder), corpus_pipeline.packing(spark, docs, folder)):
+        assert df.groupBy("sequence_id").sum("length").where("`sum(length)` > 2048").isEmpty()
+    assert [x[2:4] for x in given] == [(2048, 2048**2)] * 2
+    r = np.random.default_rng(3)
+    lengths = np.minimum(r.lognormal(5.5, 1.1, 3000).astype(int) + 1, 2048)
+    for counts in (given[0][0], {int(k): int(n) for k, n in zip(*np.unique(lengths, return_counts=True), strict=True)}, {1: 5000}):
+        assert pack_classes(counts, 2048, 2048, 2048**2)[1] <= pack_classes(counts, 2048)[1]
+
+
 def test_pack_needs_room():
     with pytest.raises(ValueError):
         pack_classes({100: 1}, 2048, max_cost=50)

@@ -95,7 +95,8 @@ def vocabulary(name: str) -> Vocabulary:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), max_tokens=2048, end_id=0)
+    # capacities that no set of pieces within 2048 tokens can exceed: all components take part in the choice, none costs a sequence
+    return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), max_tokens=2048, max_docs=2048, max_cost=2048**2, end_id=0)
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
