@@ -206,6 +206,27 @@ def test_pairs_of_terms_count():
     assert right > 0.95
 
 
+def test_pairs_in_a_few_texts_count_with_the_parameters_of_the_query():
+    """One text in twenty holds a telling pair, among sixty words of a skewed vocabulary; the labels of the others are chance."""
+    chance = 1 / np.arange(1, 3001) ** 0.9
+
+    def corpus(n, seed):
+        r = np.random.default_rng(seed)
+        for _ in range(n):
+            words = [f"w{k}" for k in r.choice(3000, 60, p=chance / chance.sum())]
+            pair = r.random() < 0.05
+            a, b = r.integers(0, 2, 2)
+            if pair:
+                words.insert(r.integers(60), "insult" if a else "praise")
+                words.insert(r.integers(60), "group" if b else "thing")
+            yield " ".join(words).encode(), int(a == b if pair else r.random() < 0.5), pair
+
+    texts, labels, _ = zip(*corpus(8000, 0), strict=True)
+    model = FactorizationMachine().fit(list(texts), list(labels))
+    texts, labels = zip(*[(t, y) for t, y, pair in corpus(8000, 1) if pair], strict=True)
+    assert np.mean([(s >= 0.5) == y for s, y in zip(model.scores(list(texts)), labels, strict=True)]) > 0.8
+
+
 def test_quality_filter(docs):
     model = Embeddings(buckets=1 << 12).fit([b"good words here"] * 20 + [b"x!! y!! z!!"] * 20, [1] * 20 + [0] * 20)
     kept = keep_good(docs, model)

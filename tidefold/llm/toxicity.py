@@ -8,7 +8,8 @@ interacts through its factors, at the cost of one pass over the terms, so an ins
 group mention can weigh more than both alone.  The driver learns from a bounded sample of
 labelled rows (``train_rows`` documents of at most ``max_bytes`` bytes): the linear weights
 by follow-the-regularised-leader with an L1 threshold, which leaves the hundreds of neutral
-terms of a text at zero, the factors by AdaGrad, for terms whose weight isn't zero.
+terms of a text at zero, the factors by AdaGrad, for terms whose weight isn't zero or that stand in
+``pair_rows`` rows of the sample, so that terms which are neutral alone can tell in pairs.
 
 Executors hold the model (``buckets * (factors + 2)`` floats) and a bounded cache of words.
 Texts are scored whole and where they are; nothing is shuffled.
@@ -41,13 +42,14 @@ def word_terms(word: bytes, buckets: int) -> tuple[int, ...]:
 class FactorizationMachine:
     def __init__(
         self, buckets: int = 1 << 18, factors: int = 4, epochs: int = 5, rate: float = 0.5, l1: float = 5.0, l2: float = 1.0,
-        factor_rate: float = 0.02, min_rows: int = 3, seed: int = 1,
+        factor_rate: float = 0.02, min_rows: int = 3, pair_rows: int = 100, seed: int = 1,
     ):
         self.buckets, self.factors, self.epochs, self.rate, self.l1, self.l2 = buckets, factors, epochs, rate, l1, l2
-        self.factor_rate, self.min_rows, self.seed = factor_rate, min_rows, seed
+        self.factor_rate, self.min_rows, self.pair_rows, self.seed = factor_rate, min_rows, pair_rows, seed
         self.bias = 0.0
         self.weights = np.zeros(buckets, np.float32)
         self.vectors = np.zeros((buckets, factors), np.float32)
+        self.paired = np.zeros(buckets, bool)
         self.name = uuid.uuid4().hex
 
     def terms(self, text: bytes, cache: dict) -> np.ndarray:
@@ -65,7 +67,7 @@ class FactorizationMachine:
 
     def margin(self, ids: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
         """The margin of a set of terms, those that take part, their factors and the factors' sum."""
-        own = ids[self.weights[ids] != 0]
+        own = ids[(self.weights[ids] != 0) | self.paired[ids]]
         v = self.vectors[own]
         total = v.sum(axis=0)
         return self.bias + float(self.weights[own].sum()) + 0.5 * float(total @ total - (v * v).sum()), own, v, total
@@ -77,7 +79,8 @@ class FactorizationMachine:
         self.vectors = rng.normal(0, 0.05, self.vectors.shape).astype(np.float32)
         cache: dict = {}
         rows = [np.sort(self.terms(t, cache)) for t in texts]
-        often = np.bincount(np.concatenate(rows), minlength=self.buckets) >= self.min_rows
+        seen_in = np.bincount(np.concatenate(rows), minlength=self.buckets)
+        often, self.paired = seen_in >= self.min_rows, seen_in >= self.pair_rows
         rows = [r[often[r]] for r in rows]
         n = np.bincount(labels, minlength=2) + 1.0
         self.bias = float(np.log(n[1] / n[0]))
