@@ -47,6 +47,53 @@ def test_changes_rewrite_touched_files_only(spark, lake):
     assert feed == {("update_before", 3), ("update_after", 3), ("update_before", 6), ("update_after", 6), ("delete", 4), ("delete", 5), ("insert", 50)}
 
 
+@pytest.mark.parametrize("n_files", [1, 30])
+def test_binary_keys_and_key_order(spark, tmp_path, n_files):
+    """Keys that aren't text, and a key whose first column isn't the table's first."""
+    lake = Lake(spark, str(tmp_path / "bin"))
+    columns = [("a", T.IntegerType()), ("id", T.BinaryType()), ("v", T.StringType())]
+    shape = Shape("s.b", tuple(columns), ("id", "a"))
+    rows = spark.range(60).select((60 - F.col("id")).cast("int").alias("a"), F.unhex(F.sha1(F.col("id").cast("string"))).alias("id"), F.lit("old").alias("v"))
+    lake.commit(lambda m: lake.put(lake.add_table(m, "s.b", columns, ["id", "a"]), rows, n_files))
+    picked = rows.where("a % 20 = 0").select(F.hex("id").alias("h"), "a").collect()
+    events = [("s", i, 0, 1, None, "s.b", "U", None, [str(r["a"]), "\\x" + r["h"], "new"], None, 0) for i, r in enumerate(picked)]
+    lake.commit(lambda m: lake.apply_changes(m, "s.b", decode(spark.createDataFrame(events, ENVELOPE), shape)))
+    got = lake.read("s.b")
+    assert got.count() == 60 and got.select("id").distinct().count() == 60 and got.where("v = 'new'").count() == 3
+
+
+def test_ten_thousand_files(spark, lake):
+    """Entries of files that are never read: a change of one key names few files, and a version rewrites few lists."""
+
+    def many(m):
+        t = m["tables"]["s.t"]
+        lead, own = next(c["id"] for c in t["columns"] if c["name"] == "k"), t["files"]
+        made = [{"path": f"data/x/y/{i}.parquet", "rows": 10, "bytes": 1000, "lead": lead, "lo": str(1000 + 10 * i), "hi": str(1009 + 10 * i), "shape": own[0]["shape"]} for i in range(10_000)]
+        t["files"] = own + made
+
+    new = lake.commit(many)
+    before = {item["name"] for item in lake.manifest()["tables"]["s.t"]["lists"]}
+    t = lake.manifest()["tables"]["s.t"]
+    keys = spark.createDataFrame([(5,), (1005,), (90_000,), (10**9,)], "k long")
+    assert {f["path"] for f in lake.near_files(t, keys)} - {f["path"] for f in t["files"] if not f["path"].startswith("data/x/")} == {"data/x/y/0.parquet", "data/x/y/8900.parquet"}
+    lake.commit(lambda m: lake.apply_changes(m, "s.t", log(spark, ("U", None, ["5", "z", "1"], None))))
+    after = {item["name"] for item in lake.manifest()["tables"]["s.t"]["lists"]}
+    assert len(before) >= 3 and len(before & after) >= 2 and len(lake.manifest()["tables"]["s.t"]["files"]) == len(new["tables"]["s.t"]["files"])
+    assert len(json.dumps(json.loads(lake.store.read(f"_manifests/{lake.manifest()['version']}.json")))) < 5000, "the manifest names lists, not files"
+
+
+def test_dropped_key_column(spark, lake):
+    lake.commit(lambda m: lake.add_table(m, "s.two", COLUMNS, ["k", "b"]) and None)
+    lake.commit(lambda m: lake.put(m["tables"]["s.two"], spark.createDataFrame([(1, "x", 1), (2, "y", 1)], "k long, a string, b int")))
+    lake.commit(lambda m: Evolver(lake).apply(m, [Action("drop_column", "s.two", "b")]) > 0)
+    shape = Shape("s.two", tuple(COLUMNS[:2]), ("k",))
+    rows = spark.createDataFrame([("s", 1, 0, 1, None, "s.two", "U", None, ["1", "z"], None, 0)], ENVELOPE)
+    lake.commit(lambda m: lake.apply_changes(m, "s.two", decode(rows, shape)))
+    assert sorted(map(tuple, lake.read("s.two").collect())) == [(1, "z"), (2, "y")] and lake.manifest()["tables"]["s.two"]["keys"] == ["k"]
+    lake.commit(lambda m: Evolver(lake).apply(m, [Action("drop_column", "s.two", "k")]) > 0)
+    assert lake.manifest()["tables"]["s.two"]["keys"] == [] and lake.read("s.two").count() == 2
+
+
 def test_truncate_then_insert_and_time_travel(spark, lake):
     lake.clock = lambda: 10**12
     lake.commit(lambda m: lake.apply_changes(m, "s.t", log(spark, ("I", None, ["1", "x", None], None), ("T", None, None, None), ("I", None, ["2", "y", None], None))))

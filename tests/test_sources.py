@@ -8,7 +8,7 @@ from tidefold.operators.ddl import Evolver
 from tidefold.operators.envelope import ENVELOPE, Shape
 from tidefold.operators.lake import Lake
 from tidefold.sources import binlog, pgoutput
-from tidefold.sources.datasource import ChangeSource, frame
+from tidefold.sources.datasource import ChangeReader, ChangeSource, LostSlot, frame
 from tidefold.sources.scanner import Scanner
 from tidefold.streaming.mirror import Mirror
 
@@ -135,6 +135,98 @@ def test_insert_only_rows_come_once(spark, tmp_path):
     assert lake.read("s.n").count() == 1
 
 
+def test_two_drivers_of_one_source_apply_a_batch_once(spark, tmp_path):
+    """The second one publishes while the first is at work; a table without a key would show rows twice."""
+    shape = Shape("s.n", (("v", T.StringType()),), ())
+    one, two = (Mirror(Lake(spark, str(tmp_path / "lake"), pause=0.01), "pg", lambda _: shape) for _ in range(2))
+    batch = spark.createDataFrame([("pg", 5, i, 1, None, "s.n", "I", None, [str(i)], None, 0) for i in range(5)], ENVELOPE)
+    real, tried = one.lake.store.create, []
+
+    def slow(name, text, *rest):
+        if not tried:
+            tried.append(name)
+            two.apply(batch)
+        return real(name, text, *rest)
+
+    one.lake.store.create = slow
+    one.apply(batch)
+    assert one.lake.read("s.n").count() == 5 and len(one.lake.versions()) == 1 and one.state.counts["events"] == 0
+    older = spark.createDataFrame([("pg", 4, 0, 1, None, "s.n", "I", None, ["old"], None, 0)], ENVELOPE)
+    one.apply(older)
+    assert one.offset() == 5 and one.initialise(1) == 5, "an offset never moves back"
+
+
+class FakeServer:
+    """A slot, its messages by LSN, and what was acknowledged."""
+
+    held: list = []
+    confirmed: int | None = None
+    acknowledged: list = []
+
+    def __init__(self, options):
+        self.options = options
+
+    def slot(self):
+        return FakeServer.confirmed
+
+    def create_slot(self):
+        FakeServer.confirmed = 0
+        return 0
+
+    def messages(self, after, at=0):
+        yield from ((0, m) for m in FakeServer.held)
+
+    def acknowledge(self, lsn):
+        FakeServer.acknowledged.append(lsn)
+        FakeServer.confirmed = lsn
+
+
+def test_slot_is_checked_and_acknowledged_after_the_batch():
+    FakeServer.held, FakeServer.confirmed, FakeServer.acknowledged = [T1, begin(1), insert(7, "1", "a"), commit(10), begin(2), commit(20)], None, []
+    reader = ChangeReader({"transport": f"{__name__}:FakeServer", "slot": "x"})
+    start = reader.initialOffset()
+    rows, end = reader.read(start)
+    assert [(r[1], r[5], r[6]) for r in rows] == [(10, "s.t", "I"), (20, None, "KEEP")] and end["lsn"] == 20
+    assert FakeServer.acknowledged == [] and list(reader.readBetweenOffsets(start, end))[-1][6] == "KEEP"
+    reader.commit(end)
+    assert FakeServer.acknowledged == [20]
+    again = ChangeReader({"transport": f"{__name__}:FakeServer"})
+    assert list(again.read(end)[0]) == []
+    with pytest.raises(LostSlot, match="confirmed up to 20"):
+        ChangeReader({"transport": f"{__name__}:FakeServer"}).read({"lsn": 15, "at": 0})
+    FakeServer.confirmed = None
+    with pytest.raises(LostSlot, match="gone"):
+        ChangeReader({"transport": f"{__name__}:FakeServer"}).read(end)
+
+
+def test_resume_decodes_only_what_is_new(tmp_path, monkeypatch):
+    log = tmp_path / "log"
+    write(log, [T1] + [m for i in range(50) for m in (begin(i), insert(7, str(i), "a"), commit(10 * i + 10))])
+    options = {"path": str(log), "maxRows": "10"}
+    reader, seen, fed = ChangeReader(options), [], []
+    real = pgoutput.Decoder.feed
+    monkeypatch.setattr(pgoutput.Decoder, "feed", lambda self, m: fed.append(m) or real(self, m))
+    end = reader.initialOffset()
+    for _ in range(6):
+        rows, end = reader.read(end)
+        seen += [r[8][0] for r in rows]
+    assert seen == [str(i) for i in range(50)] and len(fed) == 151 + 5, "each message once, the relation once more for each batch"
+    assert ChangeReader(options | {"maxMillis": "0"}).read(reader.initialOffset())[1]["lsn"] == 10, "time closes a batch too"
+
+
+def test_batch_without_rows_moves_the_offset_alone(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    mirror = Mirror(lake, "pg", lambda _: SHAPES[1])
+    row = lambda lsn, table, op, after: ("pg", lsn, 0, 1, None, table, op, None, after, None, 0)
+    mirror.apply(spark.createDataFrame([row(5, "s.t", "I", ["1", "a"])], ENVELOPE))
+    files = lake.manifest()["tables"]["s.t"]["files"]
+    mirror.apply(spark.createDataFrame([row(9, None, "KEEP", ['{"file": "b.2", "gtid": "x:1-9"}'])], ENVELOPE))
+    now = lake.manifest()
+    assert now["offsets"]["pg"] == {"lsn": 9, "position": {"file": "b.2", "gtid": "x:1-9"}} and now["tables"]["s.t"]["files"] == files
+    assert (mirror.state.counts["filtered"], mirror.state.counts["batches"]) == (1, 1)
+    assert {s for _, _, s, _ in mirror.state.timings} >= {"append", "lock_wait", "ensure", "mirror_dml", "lake_commit", "cleanup", "offset_ack"}
+
+
 def test_failed_batch_leaves_nothing(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
     mirror = Mirror(lake, "pg", lambda _: Shape("s.n", (("v", T.LongType()),), ()))
@@ -269,4 +361,20 @@ def test_mysql_stream_with_ddl_key_move_and_restart(spark, tmp_path):
         q.processAllAvailable()
         q.stop()
         assert {r["id"]: r["w"] for r in lake.read("shop.t").collect()} == {9: "é", 3: "c", 4: "d"}
-    assert lake.read("shop.t").columns == ["id", "w"]
+    assert lake.read("shop.t").columns == ["id", "w"] and lake.manifest()["offsets"]["mysql"]["position"] == {"file": "b.000001", "pos": 300}
+
+
+def test_mysql_changes_need_a_file(tmp_path):
+    import json
+
+    from tidefold.sources.datasource import EventReader
+
+    log = tmp_path / "events"
+    table = {"type": "table_map", "table_id": 1, "schema": "shop", "table": "t", "names": ["id"], "codes": [8], "primary_key": [0]}
+    events = [table, {"type": "write", "table_id": 1, "rows": [[1]]}, {"type": "xid", "next_pos": 9}]
+    log.write_text("".join(json.dumps(e) + "\n" for e in events))
+    with pytest.raises(ValueError, match="file is known"):
+        EventReader({"path": str(log)}).read({"file": "", "pos": 0})
+    reader = EventReader({"path": str(log), "startPosition": '{"file": "b.7"}'})
+    rows, end = reader.read(reader.initialOffset())
+    assert [r[6] for r in rows] == ["I", "KEEP"] and end["file"] == "b.7"

@@ -2,7 +2,8 @@
 
 Every source delivers the same envelope.  A tuple is a list of texts in column order;
 ``unchanged`` marks columns that an update didn't send (large values left alone), which is not
-the same as null.  (lsn, seq) gives the total order of a source.
+the same as null.  (lsn, seq) gives the total order of a source.  A row with op ``KEEP`` has no table: it
+says that the source is at its lsn (``after``: the position as JSON, if it is more than that number).
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ ENVELOPE = T.StructType(
         T.StructField("schema_id", T.IntegerType()),
     ]
 )
-INSERT, UPDATE, DELETE, TRUNCATE, DDL = "I", "U", "D", "T", "DDL"
+INSERT, UPDATE, DELETE, TRUNCATE, DDL, KEEP = "I", "U", "D", "T", "DDL", "KEEP"
 
 
 @dataclass(frozen=True)

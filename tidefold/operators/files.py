@@ -1,4 +1,8 @@
-"""Small files of the lake through Hadoop's file systems, so any store that Spark reads will do."""
+"""Small files of the lake through Hadoop's file systems.
+
+Publishing needs a file system whose exclusive creation and rename are atomic, as on HDFS or a local disk; on object stores
+that lack both, two writers could publish one version.  One writer per lake is safe on any store.
+"""
 
 from __future__ import annotations
 
@@ -25,6 +29,15 @@ class Store:
         finally:
             stream.close()
 
+    def exists(self, name: str) -> bool:
+        return bool(self.fs.exists(self.path(self.at(name))))
+
+    def write(self, name: str, text: str) -> None:
+        """Write a file whose name nobody else uses."""
+        out = self.fs.create(self.path(self.at(name)), False)
+        out.write(text.encode("utf-8"))
+        out.close()
+
     def create(self, name: str, text: str, stale: float = 60.0) -> bool:
         """Write a new file; False if it exists already or another writer is at it.
 

@@ -1,20 +1,23 @@
 """The mirror as a streaming query: one published version per micro-batch.
 
 ``foreachBatch`` folds the rows of all tables and publishes data and offset in one manifest.  A
-batch that comes again after a failure is recognised by that offset and skipped, so rows are
-applied exactly once, also for tables without keys.  An error ends the query; started again, it replays from the
-checkpoint.
+batch that comes again after a failure is recognised by that offset, which is looked at inside the commit, so rows are
+applied exactly once, also for tables without keys and with two writers of one source.  A batch without rows
+for any table (all filtered, or a source at rest) moves the offset alone.  An error ends the query; started again, it
+replays from the checkpoint.
 """
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ddl import Evolver
-from ..operators.envelope import Shape, decode
+from ..operators.envelope import KEEP, Shape, decode
 from ..operators.lake import Lake, kind
 from ..operators.progress import SyncState
 from ..plans.ddl_text import Action, classify, from_audit
@@ -24,45 +27,67 @@ AUDIT = ("id", "ev", "tag", "object_type", "object_identity", "query_text", "xid
 
 
 class Mirror:
-    def __init__(self, lake: Lake, source: str, shape_of: Callable[[str], Shape], evolver: Evolver | None = None, state: SyncState | None = None, dialect: str = "pg"):
-        self.lake, self.source, self.shape_of, self.dialect = lake, source, shape_of, dialect
+    def __init__(self, lake: Lake, source: str, shape_of: Callable[[str], Shape], evolver: Evolver | None = None, state: SyncState | None = None, dialect: str = "pg", acknowledge: Callable[[dict], None] = lambda _: None):
+        self.lake, self.source, self.shape_of, self.dialect, self.acknowledge = lake, source, shape_of, dialect, acknowledge
         self.evolver, self.state = evolver or Evolver(lake), state or SyncState(source)
 
-    def offset(self) -> int:
-        return int(self.lake.manifest()["offsets"].get(self.source, {}).get("lsn", -1))
+    def offset(self, manifest: dict | None = None) -> int:
+        return int((manifest or self.lake.manifest())["offsets"].get(self.source, {}).get("lsn", -1))
+
+    def initialise(self, lsn: int) -> int:
+        """Set the offset of a source that has none; the offset that holds."""
+
+        def edit(m):
+            if self.source in m["offsets"]:
+                return False
+            m["offsets"][self.source] = {"lsn": lsn}
+            return None
+
+        return self.offset(self.lake.commit(edit))
 
     def apply(self, batch: DataFrame, batch_id: int = 0) -> None:
         """Apply one micro-batch of envelope rows."""
         stages: dict[str, float] = {}
         batch = batch.persist()
         try:
-            with self.state.timed(stages, "decode"):
+            with self.state.timed(stages, "append"):
                 found = self.survey(batch)
-            lsn = max((r["lsn"] for r in found), default=-1)
-            if lsn <= self.offset():
+            if not found:
                 return
-            fresh = batch.where(F.col("lsn") > self.offset()) if min(r["first"] for r in found) <= self.offset() else batch
-            with self.state.timed(stages, "plan"):
-                steps = self.steps(fresh) if any(r["ddl"] for r in found) else [("rows", (-1, -1), None)]
-            known = {r["table"]: r.asDict() for r in found} if len(steps) == 1 and fresh is batch else None
-            with self.state.timed(stages, "lake_commit"):
-                self.lake.commit(lambda m: self.edit(m, fresh, steps, lsn, stages, known))
+            inside = lambda: sum(stages.get(s, 0.0) for s in ("lock_wait", "plan", "ensure", "staging_ddl", "mirror_dml"))
+            began, before = time.perf_counter(), inside()
+            waited = lambda ms: stages.update(lock_wait=ms)
+            done: list[bool] = []
+            new = self.lake.commit(lambda m: self.edit(m, batch, found, stages, done), waited)
+            stages["lake_commit"] = (time.perf_counter() - began) * 1000 - (inside() - before)
         except Exception:
             self.state.failed()
             raise
         finally:
-            batch.unpersist()
+            with self.state.timed(stages, "cleanup"):
+                batch.unpersist()
+        with self.state.timed(stages, "offset_ack"):
+            self.acknowledge(new["offsets"].get(self.source, {}))
+        if not done[-1]:
+            return
         times = [r["ts"] for r in found if r["ts"]]
-        self.state.delivered(int(max(times).timestamp() * 1000) if times else None)
-        self.state.committed(sum(r["n"] for r in found), stages)
+        newest = int(max(times).timestamp() * 1000) if times else None
+        rows = sum(r["n"] for r in found if r["table"] is not None)
+        if not rows:
+            self.state.filtered(newest)
+            return
+        self.state.delivered(newest)
+        self.state.committed(rows, stages)
 
     @staticmethod
     def survey(batch: DataFrame) -> list:
-        """A row for each table of a batch: what it holds, in one job."""
+        """A row for each table of a batch: what it holds, in one job.  Marks of the source's position have no table."""
         holes = (F.col("op") == "U") & F.coalesce(F.exists("unchanged", lambda x: x), F.lit(False))
         return batch.groupBy("table").agg(
             F.min("lsn").alias("first"), F.max("lsn").alias("lsn"), F.max("commit_ts").alias("ts"), F.count(F.lit(1)).alias("n"),
             F.bool_or(F.col("op") == "T").alias("cut"), F.bool_or(holes).alias("holes"), F.bool_or(F.col("op") == "DDL").alias("ddl"),
+            F.coalesce(F.sum(F.octet_length(F.array_join("after", ""))), F.lit(0)).alias("bytes"),
+            F.max_by(F.get("after", F.lit(0)), F.when(F.col("op") == KEEP, F.col("lsn"))).alias("position"),
         ).collect()
 
     def steps(self, batch: DataFrame) -> list[tuple]:
@@ -83,9 +108,22 @@ class Mirror:
             return [a for sql, schema, *_ in tuples for a in classify(sql, schema)]
         return from_audit([dict(zip(AUDIT, t, strict=False)) for t in tuples])
 
-    def edit(self, manifest: dict, batch: DataFrame, steps: list[tuple], lsn: int, stages: dict, known: dict | None = None) -> None:
-        """Edit a manifest; ``known`` is the survey where the whole batch is one step."""
-        rows = batch.where("op <> 'DDL'")
+    def edit(self, manifest: dict, batch: DataFrame, found: list, stages: dict, done: list[bool]) -> bool | None:
+        """Edit a manifest: rows beyond its offset, and the offset.  ``found`` is the survey; ``done`` takes whether there was anything to do."""
+        now, lsn = self.offset(manifest), max(r["lsn"] for r in found)
+        done.append(lsn > now)
+        if lsn <= now:
+            return False
+        position = next((r["position"] for r in found if r["table"] is None and r["position"]), None)
+        manifest["offsets"][self.source] = {"lsn": lsn} | ({"position": json.loads(position)} if position else {})
+        fresh = min(r["first"] for r in found) > now
+        batch = batch if fresh else batch.where(F.col("lsn") > now)
+        with self.state.timed(stages, "plan"):
+            steps = self.steps(batch) if any(r["ddl"] for r in found) else [("rows", (-1, -1), None)]
+        known = {r["table"]: r.asDict() for r in found if r["table"] is not None} if len(steps) == 1 and fresh else None
+        if known == {}:
+            return None
+        rows = batch.where(~F.col("op").isin("DDL", KEEP))
         for what, *rest in steps:
             if what == "ddl":
                 with self.state.timed(stages, "staging_ddl"):
@@ -96,7 +134,7 @@ class Mirror:
             point = lambda p: F.struct(F.lit(p[0]).cast("long").alias("lsn"), F.lit(p[1]).cast("long").alias("seq"))
             part = rows.where(place > point(start))
             part = part.where(place < point(end)) if end else part
-            for table in sorted(known or (r[0] for r in part.select("table").distinct().collect())):
+            for table in sorted(known if known is not None else (r[0] for r in part.select("table").distinct().collect())):
                 shape = self.shape_of(table)
                 name = self.lake.name_of(table)
                 with self.state.timed(stages, "ensure"):
@@ -106,7 +144,7 @@ class Mirror:
                     changes = widened(decode(part, shape), shape, columns)
                     same = known and columns_match(columns, shape)
                     self.lake.apply_changes(manifest, name, changes, known[table] if same else None)
-        manifest["offsets"][self.source] = {"lsn": lsn}
+        return None
 
     def start(self, stream: DataFrame, checkpoint: str, **trigger):
         """The running query; ``trigger`` as for ``writeStream.trigger``, by default all that is there."""
