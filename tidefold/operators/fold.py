@@ -18,12 +18,14 @@ from ..scratch import shared_folder
 from .envelope import DELETE, INSERT, TRUNCATE, UPDATE
 
 
-def split_moves(changes: DataFrame, keys: list[str]) -> DataFrame:
+def split_moves(changes: DataFrame, keys: list[str], moves: bool = True) -> DataFrame:
     """An update that changes its key becomes a delete of the old key, then a write of the new row.
 
     Columns that the update didn't send can't be carried over here: ``replay`` takes such moves out
-    first.  ``step`` orders the two halves.
+    first.  ``step`` orders the two halves.  With ``moves`` false no update carries an old key.
     """
+    if not moves:
+        return changes.withColumn("order", F.struct("at.lsn", "at.seq", F.lit(1).alias("step"))).drop("at")
     moved = (F.col("op") == UPDATE) & F.col("old").isNotNull()
     for_key = lambda side: F.struct(*[F.col(f"{side}.{k}").alias(k) for k in keys])
     moved = moved & (for_key("old") != for_key("new"))
@@ -56,17 +58,21 @@ def after_truncate(changes: DataFrame) -> tuple[DataFrame, Column]:
     return changes.where((F.col("op") != TRUNCATE) & (cut.isNull() | (F.col("at") > cut))), cut.isNull()
 
 
-def mirror(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+def mirror(base: DataFrame | None, changes: DataFrame, keys: list[str], cut: bool = True, moves: bool = True) -> DataFrame:
     """Current rows after a batch of full changes (fast path: no patches).
 
-    Rows of ``base`` whose key is touched go, the last live row of each key comes.  Without keys
-    the table only grows: live inserts are appended.
+    Rows of ``base`` (none: no rows) whose key is touched go, the last live row of each key comes.  Without keys
+    the table only grows: live inserts are appended.  ``cut`` and ``moves`` are false where it is known that
+    the batch holds no truncate and no old keys.
     """
-    live, keep = after_truncate(changes)
-    kept = base.where(keep)
+    live, keep = after_truncate(changes) if cut else (changes, F.lit(True))
+    kept = base.where(keep) if base is not None and cut else base
     if not keys:
-        return kept.unionByName(live.where(F.col("op").isin(INSERT, UPDATE) & F.col("new").isNotNull()).select("new.*"))
-    last = latest(split_moves(live, keys), keys, "order")
+        fresh = live.where(F.col("op").isin(INSERT, UPDATE) & F.col("new").isNotNull()).select("new.*")
+        return fresh if kept is None else kept.unionByName(fresh)
+    last = latest(split_moves(live, keys, moves), keys, "order")
+    if kept is None:
+        return last.where(F.col("op") != DELETE).select("row.*")
     touched = last.select(*[F.col(f"__k_{k}").alias(f"__t_{k}") for k in keys])
     same = None
     for k in keys:

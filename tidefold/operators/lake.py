@@ -347,24 +347,29 @@ class Lake:
             summary = changes.agg(
                 F.coalesce(F.bool_or(F.col("op") == "T"), F.lit(False)).alias("cut"),
                 F.coalesce(F.bool_or((F.col("op") == "U") & F.exists("held", lambda x: x)), F.lit(False)).alias("holes"),
+                F.coalesce(F.bool_or((F.col("op") == "U") & F.col("old").isNotNull()), F.lit(False)).alias("moves"),
                 F.count(F.lit(1)).alias("n"),
                 F.coalesce(F.sum(F.octet_length(F.col("new").cast("string"))), F.lit(0)).alias("bytes"),
             ).first()
         if not summary["n"]:
             return
         if not keys:
-            live, _ = fold.after_truncate(changes)
             if summary["cut"]:
                 table["files"], table["inline"] = [], []
-            self.put(table, live.where(F.col("op").isin("I", "U") & F.col("new").isNotNull()).select("new.*"), 1 if summary["bytes"] <= ONE_FILE_BYTES else None)
+            self.put(table, fold.mirror(None, changes, [], summary["cut"]), 1 if summary["bytes"] <= ONE_FILE_BYTES else None)
             return
-        step = fold.replay if summary["holes"] else fold.mirror
+        step = fold.replay if summary["holes"] else lambda b, c, k: fold.mirror(b, c, k, summary["cut"], summary["moves"])
         if summary["cut"]:
             self.replace_rows(table, step(self.rows(table, []), changes, keys))
             return
-        split = fold.split_moves(changes, keys)
-        names = split.select(*fold.row_of(keys)).where(" and ".join(f"`{k}` is not null" for k in keys)).distinct()
-        hit = self.touched_files(table, names) if table["files"] else []
+        hit = []
+        if table["files"]:
+            names = fold.split_moves(changes, keys, summary["moves"]).select(*fold.row_of(keys))
+            hit = self.touched_files(table, names.where(" and ".join(f"`{k}` is not null" for k in keys)))
+        if not hit and not table["inline"] and not summary["holes"]:
+            few = summary["bytes"] <= ONE_FILE_BYTES
+            self.put(table, step(None, changes, keys), 1 if few else None)
+            return
         base = self.rows(table, hit)
         if table["inline"]:
             base = base.unionByName(self.rows(table | {"files": []}).select(*base.columns))

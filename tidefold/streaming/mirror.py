@@ -86,6 +86,7 @@ class Mirror:
         return batch.groupBy("table").agg(
             F.min("lsn").alias("first"), F.max("lsn").alias("lsn"), F.max("commit_ts").alias("ts"), F.count(F.lit(1)).alias("n"),
             F.bool_or(F.col("op") == "T").alias("cut"), F.bool_or(holes).alias("holes"), F.bool_or(F.col("op") == "DDL").alias("ddl"),
+            F.bool_or((F.col("op") == "U") & F.col("before").isNotNull()).alias("moves"),
             F.coalesce(F.sum(F.octet_length(F.array_join("after", ""))), F.lit(0)).alias("bytes"),
             F.max_by(F.get("after", F.lit(0)), F.when(F.col("op") == KEEP, F.col("lsn"))).alias("position"),
         ).collect()
