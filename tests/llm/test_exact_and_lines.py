@@ -13,15 +13,16 @@ def rows(df, *columns):
     return [tuple(r) for r in df.select(*columns).collect()]
 
 
+@pytest.mark.parametrize("most", [0, 10**6])
 @pytest.mark.parametrize("hash_of", [F.xxhash64, lambda t: F.length(t).cast("long") % 3])
-def test_exact_dedup(docs, hash_of):
+def test_exact_dedup(docs, hash_of, most):
     """Also with a hash that nearly always collides: chains keep different texts apart."""
     source = rows(docs, "doc_id", "text")
     norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
     groups = defaultdict(list)
     for i, t in source:
         groups[norm(t)].append(i)
-    got = rows(exact_dedup(docs, bucket_keys=4, max_depth=6, hash_of=hash_of), "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    got = rows(exact_dedup(docs, bucket_keys=4, hash_of=hash_of, broadcast_hashes=most), "doc_id", "keep_id", "group_size", "kept", "text_sha256")
     wanted = Counter()
     for i, t in source:
         own = groups[norm(t)]
@@ -32,14 +33,25 @@ def test_exact_dedup(docs, hash_of):
     assert set(kept.values()) == {1} and len(kept) == len(groups), "one row of each group stays, also of repeated rows"
 
 
-def test_directory_doubles_until_buckets_fit():
-    counts = {p: 10 for p in range(256)}
-    slots = directory(counts, 100, 8)
-    assert len(slots) == 32 and {local for _, _, local in slots} == {5}
-    skewed = directory({0: 100, 255: 1}, 50, 8)
-    assert len(skewed) == 256 and {s for s, _, _ in skewed} == set(range(256))
-    assert len({b for _, b, _ in skewed}) == 9, "only the overfull side is split"
-    assert directory({}, 10, 8) == [(0, 0, 0)]
+def test_directory_doubles_until_buckets_fit(spark):
+    even = spark.range(4096).select(F.shiftleft(F.col("id"), 52).alias("h"))
+    slots, bits = directory(even, 100)
+    found = slots.groupBy("bucket", "local_depth").agg(F.max("keys").alias("n"), F.count(F.lit(1)).alias("slots")).collect()
+    assert {r["local_depth"] for r in found} == {6} and len(found) == 64 and all(r["n"] == 64 for r in found), "4,096 places, 64 a bucket"
+    uneven = spark.range(100).select(F.col("id").alias("h")).union(spark.createDataFrame([(-1,)], "h long"))
+    slots, bits = directory(uneven, 50)
+    got = rows(slots.select("bucket", "local_depth", "keys").distinct(), "local_depth", "keys")
+    assert bits == 62 and (1, 1) in got and max(n for _, n in got) <= 50, "only the overfull side is split, as deep as it takes"
+    assert directory(uneven, 101)[1] == 0 and directory(uneven.where("false"), 10)[0].count() == 0
+
+
+def test_owners_hold_ranges_of_buckets(spark, docs):
+    """One owner per bucket, chains numbered from 0 in it; no exchange between the range exchange and the numbering."""
+    got = exact_dedup(docs, bucket_keys=4, hash_of=lambda t: F.pmod(F.xxhash64(t), F.lit(7)) * 2**59)
+    chains = {}
+    for b, c, s in rows(got.distinct(), "bucket", "chain", "text_sha256"):
+        chains.setdefault(b, []).append((c, s))
+    assert len(chains) > 1 and any(c > 0 for own in chains.values() for c, _ in own)
 
 
 def test_exact_dedup_of_nothing(nothing):
@@ -72,6 +84,29 @@ def test_line_dedup_keeps_first(spark):
         line_bitmaps(df, policy="other")
 
 
+def test_lines_are_range_partitioned_and_streamed(spark, docs):
+    from tidefold.llm.line_dedup import line_index
+
+    keyed = spark.createDataFrame([(i, 1, [(7, 7), (i, 0), (7, 7)]) for i in range(500)], "doc long, row long, hs array<struct<a:long,b:int>>")
+    index = line_index(keyed)
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "rangepartitioning(a#" in plan, plan
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = index.withColumn("p", F.spark_partition_id()).where("a = 7 and b = 7").select("p").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert hot > 1, "a hot line is dealt to several tasks"
+    assert index.where("first").where("a = 7 and b = 7").count() == 500
+
+
+def test_long_text_that_loses_all_lines(spark):
+    text = "\n".join(f"line {i % 5000}" for i in range(20_000))
+    df = spark.createDataFrame([(1, text), (2, text + "\nown")], "doc_id long, text string")
+    got = rows(drop_lines(df, line_bitmaps(df, min_docs=2)).orderBy("doc_id"), "text", "__line_dropped")
+    assert got == [("", 20_000), ("own", 20_000)]
+
+
 def test_many_lines_in_one_text(spark):
     lines = [f"l{i % 90}" if i % 3 else f"own {i}" for i in range(400)]
     df = spark.createDataFrame([(i, "\n".join(lines) if i else "own 0") for i in range(3)], "doc_id long, text string")

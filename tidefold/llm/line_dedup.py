@@ -1,14 +1,17 @@
 """Line dedup over range-partitioned line hashes (DataFrame operations only).
 
 1. Every text is split at ``\\n``; a line's key (stripped, A-Z lower-cased) becomes a
-   96-bit hash, kept per document as an array, so text is read once and never moved here.
-2. Per document the keys are made distinct, then counted over documents.  Spark adds
-   the counts up in the map tasks, so a line that stands in a third of all documents is one
-   row per map task.  The repeated keys are range-partitioned on the hash and sorted.
-3. Lines of repeated keys are looked up again; the planned join splits a hot key's rows
+   96-bit hash, kept per document as an array, so this text is read once and isn't moved.
+2. Lines are range-partitioned on (hash, document) and sorted by (hash, document, position) within the partitions.  Since the
+   document is part of the range, a line that stands in a third of all documents is dealt to many tasks.
+3. The sorted lines are streamed: the first occurrence of a key in each document is marked, a rank over the order that the
+   exchange has made, without another one.  The marked lines are counted by key with map-side sums, and
+   the first of all by (document, position) is kept.  The sorted lines are an index in the shared folder.
+4. Lines of repeated keys are looked up in the index; the planned join splits a hot key's rows
    (adaptive skew join).  They are folded to one bitmap per document with hits: a word of 64 lines is an
    integer, and words without a hit are left out (the compression).
-4. ``drop_lines`` applies a bitmap to its text with higher-order functions.
+5. ``drop_lines`` applies a bitmap to its text with higher-order functions.  Only there texts may move: to their bitmaps, in the join
+   that Spark plans, unless it broadcasts the bitmaps.
 
 Policies: ``drop_all`` drops every line whose key is in at least ``min_docs`` documents;
 ``keep_first`` keeps the first occurrence, by (doc_id, position), of such a key.
@@ -24,6 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import WS_CHARS, ascii_lower, materialise, whole_text
 
@@ -44,6 +48,17 @@ def row_key(text_col: str) -> Column:
     return F.xxhash64(whole_text(text_col))
 
 
+def line_index(keyed: DataFrame) -> DataFrame:
+    """a, b, doc, row, pos, first: all lines, range-partitioned and sorted; ``first`` marks a key's first line in each row of the documents.
+
+    Rows that repeat id and text have their lines side by side, and a mark each: a rank gives equal positions the same number.
+    """
+    lines = keyed.select("doc", "row", F.posexplode("hs").alias("pos", "k")).where("k is not null")
+    lines = lines.select(F.col("k.a").alias("a"), F.col("k.b").alias("b"), "doc", "row", "pos")
+    ranged = lines.repartitionByRange("a", "b", "doc", "row").sortWithinPartitions("a", "b", "doc", "row", "pos")
+    return ranged.withColumn("first", F.rank().over(Window.partitionBy("a", "b", "doc", "row").orderBy("pos")) == 1)
+
+
 def line_bitmaps(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -61,17 +76,13 @@ def line_bitmaps(
     keyed = docs.select(doc.alias("doc"), row_key(text_col).alias("row"), _hashed(line_keys(text), min_key_len).alias("hs"))
     keyed = materialise(keyed, "line-keys")
 
-    of_doc = F.array_distinct(F.filter("hs", lambda x: x.isNotNull()))
-    per_doc = keyed.select("doc", F.explode(of_doc).alias("k")).select("doc", F.col("k.a").alias("a"), F.col("k.b").alias("b"))
-    seen = per_doc.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= min_docs)
-    ranged = materialise(seen.repartitionByRange("a", "b").sortWithinPartitions("a", "b"), "line-repeated")
+    index = materialise(line_index(keyed), "line-index")
+    seen = index.where("first").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_docs"), F.min(F.struct("doc", "pos", "row")).alias("least"))
+    repeated = materialise(seen.where(F.col("n_docs") >= min_docs).drop("n_docs"), "line-repeated")
 
-    lines = keyed.select("doc", "row", F.posexplode("hs").alias("pos", "k")).where("k is not null")
-    hits = lines.select("doc", "row", "pos", F.col("k.a").alias("a"), F.col("k.b").alias("b")).join(ranged, ["a", "b"])
+    hits = index.join(repeated if policy == "keep_first" else repeated.drop("least"), ["a", "b"])
     if policy == "keep_first":
-        # the secondary sort in aggregate form: the least (document, position, row) of a key
-        first = hits.groupBy("a", "b").agg(F.min(F.struct("doc", "pos", "row")).alias("first"))
-        hits = hits.join(first, ["a", "b"]).where(F.struct("doc", "pos", "row") != F.col("first"))
+        hits = hits.where(F.struct("doc", "pos", "row") != F.col("least"))
     bit = F.expr("shiftleft(1L, pos % 64)")
     masks = hits.groupBy("doc", "row", F.expr("pos div 64").cast("int").alias("word")).agg(F.bit_or(bit).alias("mask"))
     return masks.groupBy(F.col("doc").alias("__line_doc"), F.col("row").alias("__line_row")).agg(
@@ -81,10 +92,13 @@ def line_bitmaps(
 
 
 def kept_lines(text: Column, bits: Column) -> Column:
-    """The lines of ``text`` whose bit isn't set (all, where ``bits`` is null)."""
+    """The lines of ``text`` whose bit isn't set (all, where ``bits`` is null): 64 lines and their word at a time."""
     lines = F.split(text, "\n", -1)
-    dropped = lambda i: F.exists(bits, lambda w: (w["word"] == F.floor(i / 64)) & (F.getbit(w["mask"], i % 64) == 1))
-    return F.when(bits.isNull(), lines).otherwise(F.filter(lines, lambda x, i: ~dropped(i)))
+    mask = lambda w: F.coalesce(F.get(F.transform(F.filter(bits, lambda x: x["word"] == w), lambda x: x["mask"]), F.lit(0)), F.lit(0).cast("long"))
+    some = lambda part, m: F.filter(part, lambda _, i: F.getbit(m, i) == 0)
+    word = lambda own, w: F.get(F.transform(F.array(mask(w)), lambda m: some(F.slice(own, w * 64 + 1, F.lit(64)), m)), F.lit(0))
+    all_words = lambda own: F.flatten(F.transform(F.sequence(F.lit(0), F.floor((F.size(own) - 1) / 64).cast("int")), lambda w: word(own, w)))
+    return F.when(bits.isNull(), lines).otherwise(F.get(F.transform(F.array(lines), all_words), F.lit(0)))
 
 
 def drop_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
