@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidefold.llm.bpe import bpe_decode, bpe_digests, bpe_encode
 from tidefold.llm.labelled import training_rows
@@ -30,18 +31,18 @@ def library():
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize(("dictionary", "complete"), [(0, 0), (30, 0), (30, 10**6), (100_000, 10**6)])
-def test_bpe(docs, library, dictionary, complete):
-    """With the words that all are folded beforehand, with none, and with some."""
+@pytest.mark.parametrize(("dictionary", "unit"), [(0, 1), (30, 50), (100_000, 10**6)])
+def test_bpe(docs, library, dictionary, unit):
+    """With all words in the dictionary, with none and with some; with units of a text, of some and of a whole partition."""
     v = vocabulary("byte_bpe_50k.tiktoken")
     encode = v.encoder().encode_ordinary
     source = rows(docs, "doc_id", "text")
-    got = rows(bpe_decode(bpe_encode(docs, v, dictionary_words=dictionary, complete_words=complete), v), "doc_id", "ids", "decoded")
+    got = rows(bpe_decode(bpe_encode(docs, v, dictionary_words=dictionary, unit_words=unit), v), "doc_id", "ids", "decoded")
     want = [(i, encode(t or ""), (t or "").encode()) for i, t in source]
     assert sorted((str(a), list(b), bytes(c)) for a, b, c in got) == sorted((str(a), b, c) for a, b, c in want)
     assert all(encode(t or "") == library(t or "") for _, t in source)
     sha = lambda b: hashlib.sha256(b).hexdigest()
-    digests = rows(bpe_digests(docs, v, dictionary_words=dictionary, complete_words=complete), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    digests = rows(bpe_digests(docs, v, dictionary_words=dictionary, unit_words=unit), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
     assert sorted(digests, key=str) == sorted(((i, len(x), sha(" ".join(map(str, x)).encode()), sha(t)) for i, x, t in want), key=str)
 
 
@@ -49,11 +50,20 @@ def test_bpe_odd_texts(spark):
     v = vocabulary("byte_bpe_50k.tiktoken")
     odd = ["\x1c\x1d\x85 ᠎  x", "I'LL i'll  \n\n", "٣४ 12a", "🙂🙂 é", "\x00\x01", "a" * 2000 + " " + "é" * 300, "<|endoftext|>"]
     df = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
-    for complete in (0, 1000):
-        got = {i: list(x) for i, x in rows(bpe_encode(df, v, dictionary_words=4, complete_words=complete), "doc_id", "ids")}
+    for unit in (1, 1000):
+        got = {i: list(x) for i, x in rows(bpe_encode(df, v, dictionary_words=4, unit_words=unit), "doc_id", "ids")}
         assert got == {i: v.encoder().encode_ordinary(t) for i, t in enumerate(odd)}
 
 
+def test_bpe_with_more_words_than_any_bound(spark):
+    """Sixty thousand distinct words beside a dictionary of a hundred and units of a thousand; texts cross the units' ends."""
+    v = vocabulary("byte_bpe_50k.tiktoken")
+    df = spark.range(0, 600, 1, 3).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.hex(F.xxhash64("id", i))), F.lit("the end")).alias("text"))
+    encode = v.encoder().encode_ordinary
+    got = {i: list(x) for i, x in rows(bpe_encode(df, v, dictionary_words=100, unit_words=1000), "doc_id", "ids")}
+    assert got == {i: encode(t) for i, t in rows(df, "doc_id", "text")}
+
+
 def test_bpe_of_nothing(nothing):
     v = vocabulary("byte_bpe_50k.tiktoken")
     assert bpe_encode(nothing, v).count() == 0 and bpe_digests(nothing, v).count() == 0

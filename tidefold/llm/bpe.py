@@ -5,20 +5,16 @@
   leftmost of equals), joins it, and looks up the two ranks that change.  The rank map is a
   literal of the query, an array of small maps found by CRC-32, so one look-up compares one or two keys.
 * The fold is applied to distinct words.  Words are counted over the corpus with map-side
-  sums.  If there are at most ``complete_words`` of them, each is folded once and the codes
-  travel to the workers: those of the most frequent words as a dictionary, all others as
-  sorted 64-bit hashes with packed ids, about 25 bytes a word, so the bound is also one of memory.  One pass
-  over the texts then puts the ids together.
-* With more words only the ``dictionary_words`` most frequent are folded beforehand (a histogram of the
-  counts gives the least count that so many words reach).  The others are folded where
-  they stand: a first pass over a batch replaces words by codes and lists the distinct
-  words of each text that the dictionary lacks, the fold runs on that list, a second pass puts the
-  ids together.  Both passes and the fold are one stage.  The size is checked, the result is the same.
-* Texts are not shuffled either way.
-* A word's merges cost its length squared; words of more than ``fold_bytes`` bytes, and words that
-  Python's and Java's patterns split differently (characters newer than Java's tables), are
-  encoded by the ``tiktoken`` library itself.
-* Decoding maps ids to their byte strings and concatenates them.
+  sums; the ``dictionary_words`` most frequent of them (a histogram of the
+  counts gives the least count that so many words reach) are folded first and travel to the workers, a bound that doesn't
+  depend on the corpus.
+* All other words are folded where they stand, once in each *unit* of a partition: a first pass over the texts replaces words by codes and sends
+  along each word that the dictionary lacks and the unit hasn't had yet, the fold runs on those, a second pass, which has the unit's words so far,
+  puts the ids together.  A unit ends when it has ``unit_words`` words of its own, so neither pass holds more, however many words the corpus has.
+  Both passes and the fold are one stage, and texts are not shuffled.
+* A word's merges cost its length squared; words of more than ``fold_bytes`` bytes are encoded by the ``tiktoken`` library itself, whose merges
+  of long words don't.
+* Decoding maps ids to their byte strings and concatenates them; the digests decode the ids that were put together.
 
 Defined results: a null or empty text has no tokens; repeated rows get equal results; extra
 columns are ignored; special tokens don't exist.
@@ -30,13 +26,14 @@ import hashlib
 import json
 import pickle
 import uuid
+from array import array
+from itertools import chain
 from operator import itemgetter
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE, map_texts, materialise, shuffle_width, to_arrow, whole_text
+from .common import SLICE, materialise, shuffle_width, to_arrow, whole_text
 from .tokens import Vocabulary
 
 RANK_BITS = 15
@@ -154,30 +151,6 @@ def folded(table: DataFrame, ranks: Column) -> DataFrame:
     return spread.select("w", "level", F.get(encode_words(F.array(F.col("w").cast("binary")), ranks), F.lit(0)).alias("ids"))
 
 
-def packed(words: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted hashes of words, and where their ids begin and end among all ids (16 bits each)."""
-
-    def run(batches):
-        import pyarrow as pa
-        import xxhash
-
-        for b in batches:
-            h = np.array([xxhash.xxh3_64_intdigest(w) for w in b.column("w").to_pylist()], np.uint64).view(np.int64)
-            ids = b.column("ids")
-            marks = ids.offsets.to_numpy().astype("<i4")
-            data = ids.values.to_numpy()[marks[0] : marks[-1]].astype("<u2").tobytes()
-            packed_ids = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(((marks - marks[0]) * 2).tobytes()), pa.py_buffer(data)])
-            yield pa.RecordBatch.from_arrays([pa.array(h), packed_ids], ["h", "ids"])
-
-    got = words.select(F.col("w").cast("binary").alias("w"), "ids").mapInArrow(run, "h long, ids binary").toArrow()
-    h = got.column("h").to_numpy().view(np.uint64)
-    sizes = np.concatenate([[0], *(np.diff(np.frombuffer(c.buffers()[1], "<i4", len(c) + 1, 4 * c.offset)) for c in got.column("ids").chunks)]) // 2
-    ids = np.concatenate([np.zeros(0, "<u2"), *(np.frombuffer(b"".join(c.to_pylist()), "<u2") for c in got.column("ids").chunks)])
-    ends = np.cumsum(sizes)
-    order = np.argsort(h)
-    return h[order], ends[:-1][order].astype(np.uint32), ends[1:][order].astype(np.uint32), ids
-
-
 _loaded: dict = {}
 
 
@@ -193,15 +166,20 @@ def loaded(shared, make):
 
 
 class Index(dict):
-    """Dictionary word -> code.  Words that it lacks get the codes behind its own until ``own`` is renewed."""
+    """Dictionary word -> code.  Words that it lacks get the codes behind its own, in the order in which the unit meets them."""
 
     own: dict[str, int]
+    fresh: list[str]
 
-    def __missing__(self, word: str) -> int:
-        return self.own.setdefault(word, len(self) + len(self.own))
+    def new_unit(self) -> None:
+        self.own, self.fresh = {}, []
 
-    def codes(self, words: list[str]) -> tuple[int, ...]:
-        return pick(self, words)
+    def __missing__(self, word: str) -> int:
+        code = self.own.get(word)
+        if code is None:
+            code = self.own[word] = len(self) + len(self.own)
+            self.fresh.append(word)
+        return code
 
 
 def pick(source, keys: list) -> tuple:
@@ -213,141 +191,90 @@ def word_index(words: list[str]) -> Index:
     return Index(zip(words, range(len(words)), strict=True))
 
 
-def word_strings(data: tuple[list[bytes], list[bytes]]) -> tuple[list[bytes], ...]:
-    """Per dictionary word the ids in decimal and the bytes that they decode to; per id its byte string and its digits."""
-    ids, table = data
-    return ids, [b"".join([table[int(i)] for i in x.split()]) for x in ids], table, [b"%d" % i for i in range(len(table))]
-
+def word_ids(data: tuple[list[bytes], list[bytes]]) -> tuple:
+    """The ids of each dictionary word, behind which a unit's own words come; per id its number, byte string and digits."""
+    flat, table = data
+    numbers = list(range(len(table)))
+    return [pick(numbers, array("i", x)) for x in flat], len(flat), numbers, table, [b"%d" % i for i in numbers]
 
-def digest(codes: tuple[int, ...], ids: list[bytes], decoded: list[bytes]) -> tuple:
-    """Number of ids, SHA-256 of the decimal ids and of the decoded bytes, from both of each code."""
-    joined = b" ".join(pick(ids, codes))
-    n = joined.count(b" ") + 1 if joined else 0
-    return n, hashlib.sha256(joined).hexdigest(), hashlib.sha256(b"".join(pick(decoded, codes))).hexdigest()
 
+def digest(ids: list[int], table: list[bytes], digits: list[bytes]) -> tuple:
+    """Number of ids, SHA-256 of the decimal ids and of the bytes that they decode to."""
+    joined, decoded = b" ".join(pick(digits, ids)), b"".join(pick(table, ids))
+    return len(ids), hashlib.sha256(joined).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
-def token_ids(codes: tuple[int, ...], ids: list[bytes], decoded: list[bytes]) -> tuple:
-    return ([int(x) for c in codes for x in ids[c].split()],)
 
+def token_ids(ids: list[int], table: list[bytes], digits: list[bytes]) -> tuple:
+    return (ids,)
 
-def ranges(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[list[int]]:
-    """``values[first[i]:last[i]]`` for each i, gathered at once."""
-    sizes = last.astype(np.int64) - first
-    ends = np.cumsum(sizes)
-    at = np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-    flat, marks = values[at].tolist(), [0, *ends.tolist()]
-    return [flat[a:b] for a, b in zip(marks, marks[1:], strict=False)]
 
-
-def extended(hot: tuple, own: list[list[int]]) -> tuple[list[bytes], list[bytes]]:
-    """Decimal ids and decoded bytes of the dictionary words and, behind them, of a batch's own words."""
-    ids, decoded, table, digits = hot
-    return ids + [b" ".join(pick(digits, x)) for x in own], decoded + [b"".join(pick(table, x)) for x in own]
-
-
-def encoded(docs: DataFrame, vocabulary: Vocabulary, finish, schema: str, dictionary_words: int, complete_words: int, fold_bytes: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id and what ``finish`` makes of a text's codes."""
+def encoded(docs: DataFrame, vocabulary: Vocabulary, finish, schema: str, dictionary_words: int, unit_words: int, fold_bytes: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id and what ``finish`` makes of a text's ids."""
     if fold_bytes >= 1 << PLACE_BITS:
         raise ValueError(f"words to fold have fewer than {1 << PLACE_BITS} bytes")
     spark, ranks = docs.sparkSession, dict(vocabulary.items)
     table = [b""] * (max(ranks.values(), default=-1) + 1)
     for word, i in ranks.items():
         table[i] = word
-    literal, name = rank_literal(ranks), uuid.uuid4().hex
-    words = word_table(docs, vocabulary.pattern, fold_bytes, text_col)
+    literal, name, pattern, target = rank_literal(ranks), uuid.uuid4().hex, vocabulary.pattern, to_arrow(schema)
+    words = word_table(docs, pattern, fold_bytes, text_col)
     levels = {r["level"]: r["count"] for r in words.groupBy("level").count().collect()}  # at most 16 * 63 rows
-    least = least_level(levels, dictionary_words)
-    complete = sum(levels.values()) <= complete_words and len(table) <= 1 << 16
-    done = materialise(folded(words if complete else words.where(F.col("level") >= least), literal), "word-codes")
-    top = done.where(F.col("level") >= least).select("w", F.array_join("ids", " ").cast("binary").alias("ids")).toArrow()
-    send = spark.sparkContext.broadcast
-    index = send((name, pickle.dumps(top.column("w").to_pylist())))
-    shared = send((name, pickle.dumps((top.column("ids").to_pylist(), table))))
-    if complete:
-        rest = packed(done.where(F.col("level") < least))
-        if not (rest[0][1:] == rest[0][:-1]).any():  # two words with one hash: as good as never
-            return one_pass(docs, vocabulary, index, shared, send(rest), finish, schema, id_col, text_col)
-    return two_passes(docs, vocabulary, literal, index, shared, finish, schema, fold_bytes, id_col, text_col)
-
-
-def one_pass(docs: DataFrame, vocabulary: Vocabulary, index_data, shared, rest, finish, schema: str, id_col: str, text_col: str) -> DataFrame:
-    pattern = vocabulary.pattern
-
-    def make(columns, texts):
-        import xxhash
-
-        find, index, hot = split_words(pattern), loaded(index_data, word_index), loaded(shared, word_strings)
-        hashes, first, last, ids = rest.value
-        single = vocabulary.encoder()._encode_single_piece
-        index.own = {}
-        rows = [index.codes(find(t.decode("utf-8", "replace"))) for t in texts]
-        raw = [w.encode() for w in index.own]
-        h = np.array([xxhash.xxh3_64_intdigest(w) for w in raw], np.uint64)
-        at = np.minimum(np.searchsorted(hashes, h), max(0, len(hashes) - 1))
-        known = (hashes[at] == h).tolist() if len(hashes) else [False] * len(raw)
-        own = ranges(ids, first[at], last[at]) if len(hashes) else [[]] * len(raw)
-        if not all(known):
-            own = [x if hit else single(w) for w, x, hit in zip(raw, own, known, strict=True)]
-        both = extended(hot, own)
-        out = [finish(row, *both) for row in rows]
-        return [columns[0], *(list(c) for c in zip(*out, strict=True))]
-
-    return map_texts(docs, [id_col], text_col, make, schema)
-
-
-def two_passes(docs: DataFrame, vocabulary: Vocabulary, literal: Column, index_data, shared, finish, schema: str, fold_bytes: int, id_col: str, text_col: str) -> DataFrame:
-    """Codes behind the dictionary's are the text's own words, first those to fold, then the long ones."""
-    pattern, target = vocabulary.pattern, to_arrow(schema)
-
-    def first_pass(columns, texts):
+    top = folded(words.where(F.col("level") >= least_level(levels, dictionary_words)), literal).select("w", "ids").toArrow()  # at most dictionary_words rows
+    index_data = spark.sparkContext.broadcast((name, pickle.dumps(top.column("w").to_pylist())))
+    shared = spark.sparkContext.broadcast((name, pickle.dumps(([array("i", x).tobytes() for x in top.column("ids").to_pylist()], table))))
+
+    def first_pass(batches):
+        import pyarrow as pa
+
         find, index = split_words(pattern), loaded(index_data, word_index)
-        codes, own, long = [], [], []
-        for t in texts:
-            index.own = {}
-            row = index.codes(find(t.decode("utf-8", "replace")))
-            raw = [w.encode() for w in index.own]
-            short = [w for w in raw if len(w) <= fold_bytes]
-            if len(short) < len(raw):
-                large = [w for w in raw if len(w) > fold_bytes]
-                place = {w: len(index) + i for i, w in enumerate(short + large)}
-                row = [c if c < len(index) else place[raw[c - len(index)]] for c in row]
-                long.append(large)
-            else:
-                long.append([])
-            codes.append(row)
-            own.append(short)
-        return [columns[0], codes, own, long]
+        index.new_unit()
+        start, layout = True, pa.schema([("doc_id", pa.int64()), ("start", pa.bool_()), ("codes", pa.binary()), ("own", pa.list_(pa.binary())), ("long", pa.list_(pa.binary()))])
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                part = whole.slice(at, SLICE)
+                rows = []
+                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("t").to_pylist(), strict=True):
+                    codes = array("i", pick(index, find(text.decode("utf-8", "replace")))).tobytes()
+                    raw, index.fresh = [w.encode() for w in index.fresh], []
+                    # a long word leaves an empty place among the words to fold
+                    rows.append((doc, start, codes, [w if len(w) <= fold_bytes else b"" for w in raw], [w for w in raw if len(w) > fold_bytes]))
+                    start = len(index.own) >= unit_words
+                    if start:
+                        index.new_unit()
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), layout, strict=True)], schema=layout)
 
     def second_pass(batches):
         import pyarrow as pa
 
         single = vocabulary.encoder()._encode_single_piece
-        for b in batches:
-            hot = loaded(shared, word_strings)
-            for at in range(0, b.num_rows, SLICE):
-                part = b.slice(at, SLICE)
-                words = [own + [single(w) for w in long] for own, long in zip(part.column("own").to_pylist(), part.column("long").to_pylist(), strict=True)]
-                both = extended(hot, [ids for own in words for ids in own])
-                before = np.cumsum([0, *map(len, words)])  # a text's own words stand behind those of the texts before it
+        ids_of, hot, numbers, table, digits = loaded(shared, word_ids)
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                part = whole.slice(at, SLICE)
                 rows = []
-                for doc, codes, shift in zip(part.column("doc_id").to_pylist(), part.column("codes"), before, strict=False):
-                    row = codes.values.to_numpy()
-                    rows.append((doc, *finish(np.where(row < len(hot[0]), row, row + shift).tolist(), *both)))
+                for doc, start, codes, own, long in zip(*(part.column(c).to_pylist() for c in ("doc_id", "start", "codes", "own", "long")), strict=True):
+                    if start:
+                        del ids_of[hot:]
+                    rest = iter(long)
+                    ids_of.extend(pick(numbers, x if x else single(next(rest))) for x in own)
+                    ids = list(chain.from_iterable(pick(ids_of, array("i", codes))))
+                    rows.append((doc, *finish(ids, table, digits)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), target, strict=True)], schema=target)
 
-    parts = map_texts(docs, [id_col], text_col, first_pass, "doc_id long, codes array<int>, own array<binary>, long array<binary>")
-    return parts.select("doc_id", "codes", encode_words(F.col("own"), literal).alias("own"), "long").mapInArrow(second_pass, schema)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).cast("binary").alias("t"))
+    parts = texts.mapInArrow(first_pass, "doc_id long, start boolean, codes binary, own array<binary>, long array<binary>")
+    return parts.select("doc_id", "start", "codes", encode_words(F.col("own"), literal).alias("own"), "long").mapInArrow(second_pass, schema)
 
 
-def bpe_encode(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 300_000, complete_words: int = 4_000_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bpe_encode(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 300_000, unit_words: int = 200_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (array<int>) for each row of ``docs``."""
-    return encoded(docs, vocabulary, token_ids, "doc_id long, ids array<int>", dictionary_words, complete_words, fold_bytes, id_col, text_col)
+    return encoded(docs, vocabulary, token_ids, "doc_id long, ids array<int>", dictionary_words, unit_words, fold_bytes, id_col, text_col)
 
 
-def bpe_digests(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 300_000, complete_words: int = 4_000_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bpe_digests(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 300_000, unit_words: int = 200_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (decimal ids joined by spaces), decoded_sha256 (of the decoded ids)."""
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return encoded(docs, vocabulary, digest, schema, dictionary_words, complete_words, fold_bytes, id_col, text_col)
+    return encoded(docs, vocabulary, digest, schema, dictionary_words, unit_words, fold_bytes, id_col, text_col)
 
 
 def bpe_decode(tokens: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids") -> DataFrame:
