@@ -189,6 +189,54 @@ def test_classifiers_on_held_out_rows(spark, fit, label, modulus, remainder, lea
     assert again.scores([b"some text"]) == model.scores([b"some text"])
 
 
+ODD_TEXTS = [b"", b"  ", "naïve naïve 漢字 élan".encode(), b"the the end of a line", b"x" * 5000, b"A-Z 09 insult group"]
+
+
+def learning_set(kind, n=400):
+    r = np.random.default_rng(5)
+    bad = ["buy buy now", "win cash", "spam spam"] if kind == "quality" else ["insult group", "hate them", "insult them"]
+    return [(f"{' '.join('w%d' % k for k in r.integers(0, 300, 20))} {bad[i % 3] if i % 2 else 'calm words'}".encode(), int((i % 2 == 0) == (kind == "quality"))) for i in range(n)]
+
+
+def test_quality_score_is_the_softmax_of_a_mean_of_vectors():
+    """The shipped settings; vectors, output layer and hashing written out over the model that was learnt."""
+    texts, labels = zip(*learning_set("quality"), strict=True)
+    kept = {}
+
+    class Kept(Embeddings):
+        def keep(self, vectors, out, bias):
+            kept.update(vectors=vectors.copy(), out=out.copy(), bias=bias.copy())
+            super().keep(vectors, out, bias)
+
+    model = Kept().fit(list(texts), list(labels))
+    assert (model.buckets, model.dims) == (1 << 17, 10)
+
+    def brute(text):
+        words, features = text.decode().split(), []
+        for k, w in enumerate(words):
+            own = f"<{w}>"
+            features += [own] + [own[i : i + n] for n in (2, 3, 4) for i in range(len(own) - n + 1)]
+            features += ["\x00again"] if k and w == words[k - 1] else []
+        hidden = np.mean([kept["vectors"][zlib.crc32(f.encode()) % (1 << 17)] for f in features], axis=0) if features else np.zeros(10)
+        z = np.exp(hidden @ kept["out"] + kept["bias"])
+        return z[1] / z.sum()
+
+    for t in [*ODD_TEXTS, *texts[:5]]:
+        assert model.scores([t])[0] == pytest.approx(brute(t), abs=1e-4)
+
+
+def test_toxicity_score_is_the_sum_over_pairs_of_terms():
+    """The shipped settings; every pair of terms is gone through."""
+    texts, labels = zip(*learning_set("toxic"), strict=True)
+    model = FactorizationMachine().fit(list(texts), list(labels))
+    for t in [*ODD_TEXTS, *texts[:5]]:
+        ids = sorted({int(i) for i in model.terms(t, {})})
+        own = [i for i in ids if model.weights[i] != 0 or model.paired[i]]
+        z = model.bias + sum(float(model.weights[i]) for i in ids)
+        z += sum(float(model.vectors[i] @ model.vectors[j]) for a, i in enumerate(own) for j in own[a + 1 :])
+        assert model.scores([t])[0] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
+
+
 def test_training_rows_are_bounded_and_not_held_out(spark, docs):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)] + [(3, None, 1), (4, 1, 1), (None, 1, 1), (5, 7, 0)], "doc_id long, quality int, toxic int")
     texts, y = training_rows(docs, labels, "quality", 3, 1, 20, 100)
