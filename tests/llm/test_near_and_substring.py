@@ -49,6 +49,31 @@ def test_near_groups(docs, block):
     assert any(c != i for i, _, c, _ in got)
 
 
+def test_texts_of_one_id_are_linked(spark):
+    """Rows that repeat an id are one document with the links of all its texts, also a row without words."""
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    source = [(3, a), (5, a), (5, b), (7, b), (7, ""), (9, ""), (9, None), (None, a)]
+    got = rows(near_groups(spark.createDataFrame(source, "doc_id long, text string")), "doc_id", "n_shingles", "component_id", "kept")
+    assert sorted(got, key=str) == sorted([(3, 26, 3, True), (5, 26, 3, False), (5, 26, 3, False), (7, 26, 3, False), (7, 0, 3, False), (9, 0, 9, True), (9, 0, 9, True), (None, 26, None, True)], key=str)
+
+
+def test_crowded_buckets_meet_on_rare_shingles(spark, monkeypatch):
+    """Pages of a template share half their shingles and a band by chance; with blocks of three no bucket fits one task."""
+    from tidefold.llm import minhash
+
+    r = random.Random(2)
+    frame = " ".join(f"t{i}" for i in range(40))
+    source = []
+    for i in range(40):
+        own = " ".join(f"p{i // 4}x{k}" for k in range(12)) if i % 4 < 3 else " ".join(f"q{r.random()}" for _ in range(12))
+        source.append((i, f"{frame} {own} {'end' if i % 2 else 'fin'}"))
+    monkeypatch.setattr(minhash, "band_keys", lambda values, n: minhash.mix(values[:1] % 1).view("int64"))
+    df = spark.createDataFrame(source, "doc_id long, text string")
+    wanted = near_by_force(source, 90)
+    got = {i: c for i, c in rows(near_groups(df, percent=90, block=3), "doc_id", "component_id")}
+    assert got == {i: c for i, (_, c) in wanted.items()} and len(set(got.values())) > 10
+
+
 def test_near_chain_whose_ends_are_far(spark):
     """Neighbours are linked, the ends aren't; the least id is at one end, so stars alone would miss links."""
     r = random.Random(5)
@@ -81,7 +106,7 @@ def test_small_sets_without_a_common_band(spark):
 def test_rare_keys_miss_no_pair(spark, percent):
     r = random.Random(percent)
     sets = [sorted(r.sample(range(12), r.randrange(1, 9))) for _ in range(120)]
-    df = spark.createDataFrame(list(enumerate(sets)), "node long, small array<long>")
+    df = spark.createDataFrame(list(enumerate(sets)), "node long, own array<long>")
     keys = defaultdict(set)
     for node, key in rows(rare_keys(df, percent), "node", "key"):
         keys[node].add(key)
@@ -150,13 +175,14 @@ def test_substring_dedup(docs, length, seed):
     assert sum(n for _, _, n, _ in got) > 0
 
 
-def test_substring_dedup_random(spark):
-    """Texts pasted together from few blocks, so matches begin and end everywhere."""
+@pytest.mark.parametrize(("bits", "hot"), [(64, 5000), (64, 2), (2, 5000), (2, 40), (0, 5000)])
+def test_substring_dedup_random(spark, bits, hot):
+    """Texts pasted together from few blocks, so matches begin and end everywhere; also where the anchors' hash hardly tells them apart."""
     r = random.Random(9)
     blocks = [" ".join(r.choice("abcd") for _ in range(r.randrange(3, 25))) for _ in range(12)]
     source = [(i, " ".join(r.choice(blocks) for _ in range(r.randrange(1, 9)))) for i in range(60)]
     df = spark.createDataFrame(source, "doc_id long, text string")
-    got = rows(substring_dedup(df, length=12, seed=4), "doc_id", "n_words", "n_removed", "kept_sha256")
+    got = rows(substring_dedup(df, length=12, seed=4, hash_bits=bits, hot_contexts=hot), "doc_id", "n_words", "n_removed", "kept_sha256")
     assert sorted(got) == sorted(repeats_by_force(source, 12))
 
 

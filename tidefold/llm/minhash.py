@@ -11,11 +11,12 @@
 2. Equal sets collapse first (any number of copies is one class, combined in the map tasks).
 3. In each bucket the class with the least id stands at the centre: every other class of the bucket is
    compared with it on the full sets, and components are formed from the links found.
-4. Buckets whose classes are still in several components are compared in full: all pairs of
-   different components that share a bucket, on the full sets.  A bucket is cut into
-   blocks of ``block`` members and each task compares two blocks, so no task holds a whole
-   hot bucket; only links that join components leave a task, at most one less than its members.
-   So no pair that shares a bucket is left undecided, and no pairs are materialised.
+4. Buckets whose classes are still in several components are compared in full, on the full sets, so no pair that shares a bucket is left
+   undecided.  One of up to ``block`` members is compared by one task.  The members of larger ones, which may be no more than alike, first meet
+   anew on their rarest shingles (the prefix filter of 1, over all their sets): whoever has the similarity shares one.  Of
+   these buckets, too, only those with several components are compared; one with over ``block`` members is cut into
+   blocks and each task compares two.  Only links that join components leave a task, at most one less than its members, and no pairs are materialised.
+5. Texts of one doc_id are linked as well.
 
 The sets of 3 and 4 are made again from the texts of classes that share a bucket; all other texts are
 read once.
@@ -86,13 +87,13 @@ def sketches(docs: DataFrame, shingle: int, permutations: int, rows_per_band: in
     return map_texts(docs, [id_col], text_col, make, SKETCH)
 
 
-def rare_keys(classes: DataFrame, percent: int) -> DataFrame:
-    """node, key: the rarest shingles of each small set.
+def rare_keys(sets: DataFrame, percent: int) -> DataFrame:
+    """node, key: the rarest shingles of each set (node, own).
 
     Two sets that share ``percent`` of their union share that much of the larger, so in any common order of all
     shingles the first one shared comes before the last ``percent`` of either set have begun.
     """
-    own = classes.where("small is not null").select("node", F.explode("small").alias("key"))
+    own = sets.select("node", F.explode("own").alias("key"))
     often = own.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     ranked = own.join(often, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("o"))
     first = F.expr(f"size(o) - ({percent} * size(o) + 99) div 100 + 1").cast("int")
@@ -144,6 +145,20 @@ def joining_links(node: np.ndarray, component: np.ndarray, side: np.ndarray, val
     return links
 
 
+def mixed_buckets(state: DataFrame) -> DataFrame:
+    """key, n, members of the buckets that hold several components."""
+    found = state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.any_value("n").alias("n"), F.count(F.lit(1)).alias("members"))
+    return found.where("lo < hi").select("key", "n", "members")
+
+
+def id_links(known: DataFrame, classes: DataFrame) -> DataFrame:
+    """a, b: links between the classes of one doc_id, for ids that come with several texts."""
+    several = known.groupBy("doc_id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi")).where("lo < hi").select("doc_id")
+    own = known.join(several, "doc_id").join(classes.select("set_key", "node"), "set_key").select("doc_id", "node")
+    least = own.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return own.join(least, "doc_id").where("a < node").select("a", F.col("node").alias("b")).distinct()
+
+
 def near_groups(
     docs: DataFrame,
     shingle: int = 5,
@@ -162,7 +177,7 @@ def near_groups(
     classes = known.where(~apart).groupBy("set_key").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"), F.any_value("small").alias("small"))
     classes = materialise(classes, "classes")
 
-    rare = materialise(rare_keys(classes, percent), "rare-keys")
+    rare = materialise(rare_keys(classes.where("small is not null").select("node", F.col("small").alias("own")), percent), "rare-keys")
     rows = classes.select("node", F.explode("bands").alias("key")).union(rare)
     shared = rows.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("other"), F.count(F.lit(1)).alias("n"))
     hits = materialise(rows.join(shared.where("centre < other"), "key").select("key", "node", "centre", "n"), "buckets")
@@ -172,16 +187,23 @@ def near_groups(
     left, right = sets.select(F.col("node").alias("a"), F.col("own").alias("x")), sets.select(F.col("node").alias("b"), F.col("own").alias("y"))
     met = pairs.join(right, "b").join(left, "a").select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("both"))
     linked = materialise(met.where(100 * F.col("both") >= percent * (F.col("nx") + F.col("ny") - F.col("both"))).select("a", "b"), "star-links")
+    linked = linked.union(id_links(known.where(~apart), classes))
     found = components(linked)
 
     # buckets in which components still meet
     state = hits.join(found, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
     state = materialise(state, "bucket-state")
-    mixed = state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    mixed = materialise(mixed_buckets(state), "mixed-buckets")
+    small = state.join(mixed.where(F.col("n") <= block).select("key"), "key")
+    crowd = state.join(mixed.where(F.col("n") > block).select("key"), "key").select("node", "component").distinct()
+    crowd = materialise(crowd, "crowded")
+    if not crowd.isEmpty():
+        again = rare_keys(sets.join(crowd.select("node"), "node", "left_semi"), percent).join(crowd, "node")
+        again = materialise(again.select("key", "node", "component"), "crowded-keys")
+        small = small.union(again.join(mixed_buckets(again.withColumn("n", F.lit(1))).select("key", "members"), "key").select("key", "node", "members", "component"))
     blocks = F.ceil(F.col("n") / block).cast("int")
     tiles = (
-        state.join(mixed, "key")
-        .withColumn("mine", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+        small.withColumn("mine", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select("key", F.least("mine", "with").alias("i"), F.greatest("mine", "with").alias("j"), "node", "component", "mine")
     )
@@ -204,5 +226,7 @@ def near_groups(
 
     reach = classes.select("set_key", "node").join(found, "node", "left").select("set_key", F.coalesce("component", "node").alias("component_id"))
     grouped = known.where(~apart).select("doc_id", "n_shingles", "set_key").join(reach, "set_key").select("doc_id", "n_shingles", "component_id")
-    alone = known.where(apart).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    # a row without words shares the component that other rows of its id have
+    others = grouped.join(known.where(apart).select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("other"))
+    alone = known.where(apart).join(others, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("other", "doc_id").alias("component_id"))
     return grouped.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
