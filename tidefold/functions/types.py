@@ -29,9 +29,8 @@ PG_SCALARS: dict[str, T.DataType] = {
     "uuid": T.StringType(),
     "interval": INTERVAL,
 }
-PG_ALIASES = {"timestamp": "timestamp without time zone", "timestamptz": "timestamp with time zone", "time": "time without time zone", "int8": "bigint", "int4": "integer", "int2": "smallint", "float4": "real", "float8": "double precision", "bool": "boolean"}
-PG_TEXT = {"text", "character varying", "varchar", "character", "char", "bpchar", "name", "time with time zone", "timetz"}
-#: Element types whose arrays become lists; arrays of anything else stay text.
+PG_ALIASES = {"timestamp": "timestamp without time zone", "timestamptz": "timestamp with time zone", "time": "time without time zone", "int8": "bigint", "int": "integer", "int4": "integer", "int2": "smallint", "float4": "real", "float8": "double precision", "bool": "boolean"}
+# Element types whose arrays become lists; arrays of anything else stay text.
 PG_LISTABLE = {"bigint", "integer", "smallint", "real", "double precision", "boolean", "timestamp without time zone", "timestamp with time zone", "date", "uuid", "numeric", "text", "character varying", "varchar", "character", "char", "bpchar", "name"}
 
 
@@ -53,7 +52,7 @@ def _decimal(arguments: str | None, default: T.DataType) -> T.DataType:
 
 def pg_type(declared: str, dims: int = 0, json_as_variant: bool = True) -> T.DataType:
     """Spark type of a PostgreSQL type; ``dims`` counts array dimensions that the text doesn't show."""
-    text = declared.strip().lower()
+    text = declared.strip().lower().removeprefix("pg_catalog.")
     while text.endswith("[]"):
         text, dims = text[:-2].strip(), dims + 1
     found = re.fullmatch(r"([a-z0-9_ ]*?)\s*(?:\(([^)]*)\))?\s*((?:with|without) time zone)?", text)
@@ -117,6 +116,7 @@ MYSQL_SCALARS: dict[str, T.DataType] = {
     "time": T.TimeType(6),
     "year": T.IntegerType(),
 }
+# Types of shapes, which come as bytes.
 MYSQL_SPATIAL = {"geometry", "point", "linestring", "polygon", "multipoint", "multilinestring", "multipolygon", "geometrycollection", "geomcollection"}
 
 # MySQL binary log column codes.

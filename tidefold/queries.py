@@ -285,9 +285,14 @@ def compaction_rows(spark, sf_dir):
     return lake.read("app.customer")
 
 
-@query()
+@query("SELECT 'app.customer' AS \"table\", 5 AS files")
 def small_file_count(spark, sf_dir):
-    return Maintenance(customer_lake(spark, sf_dir)).small_files()
+    """Five small files of one table."""
+    lake = new_lake(spark)
+    rows = table(spark, sf_dir, "customer").select(*CUSTOMER.names)
+    for i in range(5):
+        lake.commit(lambda m, i=i: lake.put(lake.add_table(m, CUSTOMER.table, list(CUSTOMER.columns), ["c_custkey"]), rows.where((F.col("c_custkey") % 5 == i) & (F.col("c_custkey") < 2000)), 1))
+    return Maintenance(lake).small_files()
 
 
 @query("SELECT n_nationkey, n_name FROM nation WHERE n_nationkey % 2 = 0")
@@ -325,12 +330,133 @@ def mirror_batches_lake(spark, sf_dir):
     return lake.read(EVENTS.table).select(*EVENTS.names)
 
 
-@query()
+@query("SELECT 1::BIGINT AS version, max(epoch_us(ts) // 1000) AS source_commit_ms, count(*) AS events, 1::BIGINT AS batches, 0::BIGINT AS failures, 0::BIGINT AS ddl_applied FROM events")
 def watermark_report(spark, sf_dir):
     lake = new_lake(spark)
     mirror = Mirror(lake, "events", lambda _: EVENTS)
     mirror.apply(event_log(spark, sf_dir))
-    return watermark(lake, mirror.state)
+    return watermark(lake, mirror.state).select("version", "source_commit_ms", "events", "batches", "failures", "ddl_applied")
+
+
+@query("""SELECT md5(o_orderkey::VARCHAR) AS id, CASE WHEN o_orderkey % 50 = 0 THEN -1.0 ELSE o_totalprice END AS price FROM orders WHERE o_orderkey % 70 <> 0""")
+def mirror_binary_key(spark, sf_dir):
+    """Keys of sixteen bytes: updates and deletes find the files that hold them."""
+    shape = Shape("app.b", (("id", T.BinaryType()), ("price", T.DoubleType())), ("id",))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.unhex(F.md5(F.col("o_orderkey").cast("string").cast("binary"))).alias("id"), F.col("o_totalprice").alias("price"))
+    lake = new_lake(spark)
+    lake.commit(lambda m: lake.put(lake.add_table(m, shape.table, list(shape.columns), ["id"]), rows.select("id", "price"), 12))
+    sent = rows.where("o_orderkey % 50 = 0 or o_orderkey % 70 = 0").withColumns({"id": F.concat(F.lit("\\x"), F.hex("id")), "price": F.lit(-1.0)})
+    log = changelog(sent, shape, F.when(F.col("o_orderkey") % 70 == 0, "D").otherwise("U"), F.col("o_orderkey"))
+    lake.commit(lambda m: lake.apply_changes(m, shape.table, decode(log, shape)))
+    return lake.read(shape.table).select(F.lower(F.hex("id")).alias("id"), "price")
+
+
+@query("SELECT event_type, count(*) AS n FROM events WHERE event_type <> 'error' GROUP BY event_type")
+def mirror_conflict_once(spark, sf_dir):
+    """Two drivers deliver one batch to a table without a key; the second publishes while the first is at work."""
+    shape = Shape(EVENTS.table, EVENTS.columns)
+    root, log = shared_folder(spark, "lake"), event_log(spark, sf_dir)
+    one, two = (Mirror(Lake(spark, root, pause=0.01), "events", lambda _: shape) for _ in range(2))
+    edit = one.edit
+
+    def late(*given):
+        found = edit(*given)
+        two.apply(log)
+        return found
+
+    one.edit = late
+    one.apply(log)
+    return one.lake.read(shape.table).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT n_nationkey, CASE WHEN n_nationkey % 4 = 0 THEN 'new' ELSE n_name END AS n_name FROM nation")
+def schema_drop_key(spark, sf_dir):
+    """One column of a key goes; the next batch is folded by the other."""
+    shape = Shape("app.nation", (("n_regionkey", T.IntegerType()), ("n_nationkey", T.IntegerType()), ("n_name", T.StringType())), ("n_regionkey", "n_nationkey"))
+    lake, rows = new_lake(spark), table(spark, sf_dir, "nation")
+    loaded(lake, shape, rows)
+    lake.commit(lambda m: Evolver(lake).apply(m, classify("ALTER TABLE nation DROP COLUMN n_regionkey", "app") or [Action("drop_column", shape.table, "n_regionkey")]) > 0)
+    if "n_regionkey" in lake.read(shape.table).columns:
+        lake.commit(lambda m: Evolver(lake).apply(m, [Action("drop_column", shape.table, "n_regionkey")]) > 0)
+    after = Shape(shape.table, shape.columns[1:], ("n_nationkey",))
+    log = changelog(rows.where("n_nationkey % 4 = 0").withColumn("n_name", F.lit("new")), after, F.lit("U"), F.col("n_nationkey"))
+    lake.commit(lambda m: lake.apply_changes(m, shape.table, decode(log, after)))
+    return lake.read(shape.table)
+
+
+@query("SELECT max(event_id) + 7 AS lsn, 2::BIGINT AS versions, 1::BIGINT AS batches, 1::BIGINT AS filtered FROM events")
+def offset_only_commit(spark, sf_dir):
+    """A batch without captured rows moves the lake's offset and rewrites nothing."""
+    lake = new_lake(spark)
+    mirror, log = Mirror(lake, "events", lambda _: EVENTS), event_log(spark, sf_dir)
+    mirror.apply(log)
+    files = lake.manifest()["tables"][EVENTS.table]["files"]
+    mark = log.orderBy(F.desc("lsn")).limit(1).withColumns({"lsn": F.col("lsn") + 7, "op": F.lit("KEEP"), "table": F.lit(None).cast("string")})
+    mirror.apply(mark)
+    assert files == lake.manifest()["tables"][EVENTS.table]["files"]
+    return spark.createDataFrame([(mirror.offset(), len(lake.versions()), mirror.state.counts["batches"], mirror.state.counts["filtered"])], "lsn long, versions long, batches long, filtered long")
+
+
+@query("SELECT 'app.customer' AS t, count(*) AS n FROM customer WHERE c_custkey % 3 <> 0")
+def schema_drop_tables(spark, sf_dir):
+    """A schema is dropped, and one table of another; what stays is listed with its rows."""
+    lake = new_lake(spark)
+    rows = table(spark, sf_dir, "customer").select(*CUSTOMER.names)
+    for name in ("app.customer", "app.gone", "shop.a", "shop.b"):
+        loaded(lake, Shape(name, CUSTOMER.columns, CUSTOMER.keys), rows.where("c_custkey % 3 <> 0"))
+    lake.commit(lambda m: Evolver(lake).apply(m, [*classify("DROP DATABASE shop", "app"), *classify("DROP TABLE IF EXISTS gone", "app")]) > 0)
+    parts = [lake.read(t).select(F.lit(t).alias("t")) for t in sorted(lake.manifest()["tables"])]
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.union(p)
+    return found.groupBy("t").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT 'table' AS what, 'buyers' AS note, count(*) AS n FROM customer UNION ALL SELECT 'c_name', 'as printed', count(*) FROM customer")
+def schema_comments(spark, sf_dir):
+    lake = customer_lake(spark, sf_dir)
+    lake.commit(lambda m: Evolver(lake).apply(m, [Action("comment_table", "app.customer", new="buyers"), Action("comment_column", "app.customer", "c_name", "as printed")]) > 0)
+    rows = lake.read("app.customer")
+    n = rows.agg(F.count(F.lit(1)).alias("n"))
+    notes = [("table", lake.manifest()["tables"]["app.customer"]["comment"]), *[(f.name, f.metadata["comment"]) for f in rows.schema if f.metadata.get("comment")]]
+    return n.crossJoin(spark.createDataFrame(notes, "what string, note string")).select("what", "note", "n")  # one row each
+
+
+@query("SELECT 'files merged' AS what, 6::BIGINT AS n UNION ALL SELECT 'versions expired', 7 UNION ALL SELECT 'files deleted', 6 UNION ALL SELECT 'rows', count(*) FROM customer")
+def upkeep_counts(spark, sf_dir):
+    """Merge, expire and clean up: only what no kept version names goes."""
+    now = [1000.0]
+    lake = new_lake(spark, clock=lambda: now[0])
+    rows = table(spark, sf_dir, "customer").select(*CUSTOMER.names)
+    for i in range(6):
+        lake.commit(lambda m, i=i: lake.put(lake.add_table(m, CUSTOMER.table, list(CUSTOMER.columns), ["c_custkey"]), rows.where(F.col("c_custkey") % 6 == i), 1))
+    work = Maintenance(lake)
+    merged = work.compact(0, None, 2, None)
+    lake.commit(lambda m: m["control"].update(seen=True))
+    now[0] = 4e9
+    found = [("files merged", merged), ("versions expired", len(work.expire(30))), ("files deleted", work.cleanup(0)), ("rows", lake.read("app.customer").count())]
+    return spark.createDataFrame(found, "what string, n long")
+
+
+@query("""SELECT event_id, event_id % 2 = 1 AS flag, CASE WHEN event_id % 5 = 0 THEN NULL ELSE ts::DATE END AS d, upper(to_hex((event_id % 200 + 16)::INTEGER)) AS raw FROM events""")
+def cast_mysql(spark, sf_dir):
+    """MySQL's rules: booleans and dates that don't fit become null, bytes come as hexadecimal digits."""
+    rows = table(spark, sf_dir, "events")
+    text = lambda name, value: casts.cast_text(value, mysql_type(name), "mysql")
+    day = F.when(F.col("event_id") % 5 == 0, "0000-00-00").otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    flag = F.when(F.col("event_id") % 2 == 1, "true").otherwise("false")
+    return rows.select("event_id", text("tinyint(1)", flag).alias("flag"), text("date", day).alias("d"), F.hex(text("varbinary(9)", F.hex(F.col("event_id") % 200 + 16))).alias("raw"))
+
+
+@query("SELECT n_nationkey, (n_nationkey % 2 = 1)::VARCHAR AS one, lpad(upper(to_hex(n_nationkey)), 4, '0') AS ten FROM nation")
+def bit_decode(spark, sf_dir):
+    bits = F.col("n_nationkey").cast("long")
+    return table(spark, sf_dir, "nation").select("n_nationkey", casts.bit_text(bits, 1).alias("one"), casts.bit_text(bits, 10).alias("ten"))
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.') || lpad((epoch_us(ts) // 1000 % 1000)::VARCHAR, 3, '0') || 'Z' AS at FROM events")
+def commit_time_text(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", casts.iso_time(F.unix_millis(F.col("ts").cast("timestamp"))).alias("at"))
 
 
 @query("""SELECT 'pg' AS source, event_type AS stage, count(*) AS batches, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.95) AS p95 FROM events GROUP BY event_type""")
@@ -453,7 +579,10 @@ def type_map(spark, sf_dir):
     return spark.createDataFrame([(n, mysql_type(n).simpleString()) for n in names], "declared string, kind string")
 
 
-@query()
+@query("SELECT 1::BIGINT AS version, 1 AS tables, 3 AS files UNION ALL SELECT 2, 1, 6")
 def snapshot_list(spark, sf_dir):
-    return moved_balances(spark, sf_dir).snapshots().select("version", "tables", "files")
-
+    lake = new_lake(spark)
+    rows = table(spark, sf_dir, "customer").select(*CUSTOMER.names)
+    for half in (0, 1):
+        lake.commit(lambda m, half=half: lake.put(lake.add_table(m, CUSTOMER.table, list(CUSTOMER.columns), ["c_custkey"]), rows.where(F.col("c_custkey") % 2 == half), 3))
+    return lake.snapshots().select("version", "tables", "files")
