@@ -123,7 +123,7 @@ def cut_spans(text: bytes, found: list[tuple[int, int]]) -> tuple[bytes, bytes]:
 P1 = "doc_id long, row long, n_words long, sha string, hs array<long>, cs array<binary>, ss array<int>, ns array<int>"
 
 
-def substring_dedup(docs: DataFrame, length: int = 50, seed: int = 16, id_col: str = "doc_id", text_col: str = "text", hot_contexts: int = 5000, hash_bits: int = 64) -> DataFrame:
+def substring_dedup(docs: DataFrame, length: int = 50, seed: int = 16, id_col: str = "doc_id", text_col: str = "text", hot_contexts: int = 500, hash_bits: int = 64) -> DataFrame:
     """doc_id, row, n_words, n_removed, spans (array<struct<start,end>> of word positions),
     kept_sha256 (kept words joined by one space) and new_text (null where nothing is removed),
     one row for each row of ``docs``; ``row`` is the xxhash64 of the text.
