@@ -24,12 +24,11 @@ from __future__ import annotations
 
 import hashlib
 import json
-import pickle
 import uuid
 from array import array
-from itertools import chain
 from operator import itemgetter
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -155,13 +154,13 @@ _loaded: dict = {}
 
 
 def loaded(shared, make):
-    """What ``make`` builds of a broadcast value (name, pickled data), once in each worker process."""
+    """What ``make`` builds of a broadcast value (name, data), once in each worker process."""
     name, data = shared.value
     key = (name, make.__name__)
     if key not in _loaded:
         for old in [k for k in _loaded if k[1] == make.__name__]:
             del _loaded[old]
-        _loaded[key] = make(pickle.loads(data))
+        _loaded[key] = make(data)
     return _loaded[key]
 
 
@@ -192,22 +191,28 @@ def word_index(words: list[str]) -> Index:
 
 
 def word_ids(data: tuple[list[bytes], list[bytes]]) -> tuple:
-    """The ids of each dictionary word, behind which a unit's own words come; per id its number, byte string and digits."""
+    """The ids of each dictionary word (32 bits each), behind which a unit's own words come; per id its byte string and its digits."""
     flat, table = data
-    numbers = list(range(len(table)))
-    return [pick(numbers, array("i", x)) for x in flat], len(flat), numbers, table, [b"%d" % i for i in numbers]
+    return flat, len(flat), table, [b"%d" % i for i in range(len(table))]
 
 
-def digest(ids: list[int], table: list[bytes], digits: list[bytes]) -> tuple:
+def digest(ids: array, table: list[bytes], digits: list[bytes]) -> tuple:
     """Number of ids, SHA-256 of the decimal ids and of the bytes that they decode to."""
     joined, decoded = b" ".join(pick(digits, ids)), b"".join(pick(table, ids))
     return len(ids), hashlib.sha256(joined).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
-def token_ids(ids: list[int], table: list[bytes], digits: list[bytes]) -> tuple:
+def token_ids(ids: array, table: list[bytes], digits: list[bytes]) -> tuple:
     return (ids,)
 
 
+def packed_lists(lists) -> list[bytes]:
+    """The lists of an Arrow column of integers, 32 bits each."""
+    whole = lists.combine_chunks()
+    data, ends = whole.flatten().to_numpy().astype("<i4").tobytes(), np.cumsum(whole.value_lengths().to_numpy()).tolist()
+    return [data[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
 def encoded(docs: DataFrame, vocabulary: Vocabulary, finish, schema: str, dictionary_words: int, unit_words: int, fold_bytes: int, id_col: str, text_col: str) -> DataFrame:
     """doc_id and what ``finish`` makes of a text's ids."""
     if fold_bytes >= 1 << PLACE_BITS:
@@ -220,8 +225,9 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, finish, schema: str, dictio
     words = word_table(docs, pattern, fold_bytes, text_col)
     levels = {r["level"]: r["count"] for r in words.groupBy("level").count().collect()}  # at most 16 * 63 rows
     top = folded(words.where(F.col("level") >= least_level(levels, dictionary_words)), literal).select("w", "ids").toArrow()  # at most dictionary_words rows
-    index_data = spark.sparkContext.broadcast((name, pickle.dumps(top.column("w").to_pylist())))
-    shared = spark.sparkContext.broadcast((name, pickle.dumps(([array("i", x).tobytes() for x in top.column("ids").to_pylist()], table))))
+    index_data = spark.sparkContext.broadcast((name, top.column("w").to_pylist()))
+    shared = spark.sparkContext.broadcast((name, (packed_lists(top.column("ids")), table)))
+    del top
 
     def first_pass(batches):
         import pyarrow as pa
@@ -246,8 +252,8 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, finish, schema: str, dictio
     def second_pass(batches):
         import pyarrow as pa
 
-        single = vocabulary.encoder()._encode_single_piece
-        ids_of, hot, numbers, table, digits = loaded(shared, word_ids)
+        single = lambda word: vocabulary.encoder()._encode_single_piece(word)  # noqa: E731  most tasks see no long word
+        ids_of, hot, table, digits = loaded(shared, word_ids)
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 part = whole.slice(at, SLICE)
@@ -256,8 +262,8 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, finish, schema: str, dictio
                     if start:
                         del ids_of[hot:]
                     rest = iter(long)
-                    ids_of.extend(pick(numbers, x if x else single(next(rest))) for x in own)
-                    ids = list(chain.from_iterable(pick(ids_of, array("i", codes))))
+                    ids_of.extend(array("i", x if x else single(next(rest))).tobytes() for x in own)
+                    ids = array("i", b"".join(pick(ids_of, array("i", codes))))
                     rows.append((doc, *finish(ids, table, digits)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), target, strict=True)], schema=target)
 
@@ -266,12 +272,12 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, finish, schema: str, dictio
     return parts.select("doc_id", "start", "codes", encode_words(F.col("own"), literal).alias("own"), "long").mapInArrow(second_pass, schema)
 
 
-def bpe_encode(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 300_000, unit_words: int = 200_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bpe_encode(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 600_000, unit_words: int = 200_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (array<int>) for each row of ``docs``."""
     return encoded(docs, vocabulary, token_ids, "doc_id long, ids array<int>", dictionary_words, unit_words, fold_bytes, id_col, text_col)
 
 
-def bpe_digests(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 300_000, unit_words: int = 200_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bpe_digests(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 600_000, unit_words: int = 200_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (decimal ids joined by spaces), decoded_sha256 (of the decoded ids)."""
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return encoded(docs, vocabulary, digest, schema, dictionary_words, unit_words, fold_bytes, id_col, text_col)
