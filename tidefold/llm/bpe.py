@@ -153,14 +153,12 @@ def folded(table: DataFrame, ranks: Column) -> DataFrame:
 _loaded: dict = {}
 
 
-def loaded(shared, make):
-    """What ``make`` builds of a broadcast value (name, data), once in each worker process."""
-    name, data = shared.value
+def loaded(name: str, shared, make):
+    """What ``make`` builds of a broadcast value, once in a worker process that stays in one of the passes; it holds only one pass's data."""
     key = (name, make.__name__)
     if key not in _loaded:
-        for old in [k for k in _loaded if k[1] == make.__name__]:
-            del _loaded[old]
-        _loaded[key] = make(data)
+        _loaded.clear()
+        _loaded[key] = make(shared.value)
     return _loaded[key]
 
 
@@ -190,27 +188,68 @@ def word_index(words: list[str]) -> Index:
     return Index(zip(words, range(len(words)), strict=True))
 
 
-def word_ids(data: tuple[list[bytes], list[bytes]]) -> tuple:
-    """The ids of each dictionary word (32 bits each), behind which a unit's own words come; per id its byte string and its digits."""
-    flat, table = data
-    return flat, len(flat), table, [b"%d" % i for i in range(len(table))]
+class WordIds:
+    """The ids of words by code, in flat arrays: a few bytes a word.  Words behind the dictionary's belong to a unit and are forgotten with it."""
 
+    def __init__(self, flat: np.ndarray, lengths: np.ndarray):
+        self.flat, self.lengths, self.starts = flat.copy(), lengths.copy(), np.cumsum(lengths, dtype=np.int64) - lengths
+        self.hot = self.end = (len(lengths), len(flat))
 
-def digest(ids: array, table: list[bytes], digits: list[bytes]) -> tuple:
+    def new_unit(self) -> None:
+        self.end = self.hot
+
+    def extend(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        (w, i), (more_w, more_i) = self.end, (len(lengths), len(flat))
+        self.lengths, self.starts, self.flat = room(self.lengths, w + more_w), room(self.starts, w + more_w), room(self.flat, i + more_i)
+        self.lengths[w : w + more_w] = lengths
+        self.starts[w : w + more_w] = i + np.cumsum(lengths, dtype=np.int64) - lengths
+        self.flat[i : i + more_i] = flat
+        self.end = w + more_w, i + more_i
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        """The ids of the words, one word's behind the other's."""
+        lengths = self.lengths[codes]
+        ends = np.cumsum(lengths, dtype=np.int64)
+        shift = np.repeat(self.starts[codes] - ends + lengths, lengths)
+        return self.flat[shift + np.arange(len(shift))]
+
+
+def room(values: np.ndarray, size: int) -> np.ndarray:
+    """``values`` with room for ``size`` values; grows by half at least."""
+    if size <= len(values):
+        return values
+    out = np.empty(max(size, len(values) * 3 // 2), values.dtype)
+    out[: len(values)] = values
+    return out
+
+
+def word_ids(data: tuple[np.ndarray, np.ndarray, list[bytes]]) -> tuple:
+    """The ids of the dictionary's words; per id its byte string and its digits."""
+    flat, lengths, table = data
+    return WordIds(flat, lengths), table, [b"%d" % i for i in range(len(table))]
+
+
+def digest(ids: np.ndarray, table: list[bytes], digits: list[bytes]) -> tuple:
     """Number of ids, SHA-256 of the decimal ids and of the bytes that they decode to."""
-    joined, decoded = b" ".join(pick(digits, ids)), b"".join(pick(table, ids))
-    return len(ids), hashlib.sha256(joined).hexdigest(), hashlib.sha256(decoded).hexdigest()
+    keys = ids.tolist()
+    joined, decoded = b" ".join(pick(digits, keys)), b"".join(pick(table, keys))
+    return len(keys), hashlib.sha256(joined).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
-def token_ids(ids: array, table: list[bytes], digits: list[bytes]) -> tuple:
+def token_ids(ids: np.ndarray, table: list[bytes], digits: list[bytes]) -> tuple:
     return (ids,)
 
 
-def packed_lists(lists) -> list[bytes]:
-    """The lists of an Arrow column of integers, 32 bits each."""
-    whole = lists.combine_chunks()
-    data, ends = whole.flatten().to_numpy().astype("<i4").tobytes(), np.cumsum(whole.value_lengths().to_numpy()).tolist()
-    return [data[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)]
+def flat_lists(lists) -> tuple[np.ndarray, np.ndarray]:
+    """An Arrow column of integer lists as its values and the lists' lengths, 32 bits each."""
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32), np.diff(lists.offsets.to_numpy()).astype(np.int32)
+
+
+def with_long(flat: np.ndarray, lengths: np.ndarray, long: list[bytes], single) -> tuple[np.ndarray, np.ndarray]:
+    """Empty lists are the places of long words, whose ids are filled in."""
+    rest = iter(long)
+    parts = [part if len(part) else np.asarray(single(next(rest)), np.int32) for part in np.split(flat, np.cumsum(lengths)[:-1])]
+    return np.concatenate(parts), np.asarray([len(part) for part in parts], np.int32)
 
 
 def encoded(docs: DataFrame, vocabulary: Vocabulary, finish, schema: str, dictionary_words: int, unit_words: int, fold_bytes: int, id_col: str, text_col: str) -> DataFrame:
@@ -225,14 +264,14 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, finish, schema: str, dictio
     words = word_table(docs, pattern, fold_bytes, text_col)
     levels = {r["level"]: r["count"] for r in words.groupBy("level").count().collect()}  # at most 16 * 63 rows
     top = folded(words.where(F.col("level") >= least_level(levels, dictionary_words)), literal).select("w", "ids").toArrow()  # at most dictionary_words rows
-    index_data = spark.sparkContext.broadcast((name, top.column("w").to_pylist()))
-    shared = spark.sparkContext.broadcast((name, (packed_lists(top.column("ids")), table)))
+    index_data = spark.sparkContext.broadcast(top.column("w").to_pylist())
+    shared = spark.sparkContext.broadcast((*flat_lists(top.column("ids").combine_chunks()), table))
     del top
 
     def first_pass(batches):
         import pyarrow as pa
 
-        find, index = split_words(pattern), loaded(index_data, word_index)
+        find, index = split_words(pattern), loaded(name, index_data, word_index)
         index.new_unit()
         start, layout = True, pa.schema([("doc_id", pa.int64()), ("start", pa.bool_()), ("codes", pa.binary()), ("own", pa.list_(pa.binary())), ("long", pa.list_(pa.binary()))])
         for whole in batches:
@@ -248,23 +287,28 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, finish, schema: str, dictio
                     if start:
                         index.new_unit()
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), layout, strict=True)], schema=layout)
+        index.new_unit()
 
     def second_pass(batches):
         import pyarrow as pa
 
         single = lambda word: vocabulary.encoder()._encode_single_piece(word)  # noqa: E731  most tasks see no long word
-        ids_of, hot, table, digits = loaded(shared, word_ids)
+        ids_of, table, digits = loaded(name, shared, word_ids)
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 part = whole.slice(at, SLICE)
-                rows = []
-                for doc, start, codes, own, long in zip(*(part.column(c).to_pylist() for c in ("doc_id", "start", "codes", "own", "long")), strict=True):
+                own = part.column("own")
+                flat, lengths = flat_lists(own.flatten())
+                words, places = np.diff(own.offsets.to_numpy()).cumsum().tolist(), [0, *np.cumsum(lengths, dtype=np.int64).tolist()]
+                rows, first = [], 0
+                for doc, start, codes, last, long in zip(*(part.column(c).to_pylist() for c in ("doc_id", "start", "codes")), words, part.column("long").to_pylist(), strict=True):
                     if start:
-                        del ids_of[hot:]
-                    rest = iter(long)
-                    ids_of.extend(array("i", x if x else single(next(rest))).tobytes() for x in own)
-                    ids = array("i", b"".join(pick(ids_of, array("i", codes))))
-                    rows.append((doc, *finish(ids, table, digits)))
+                        ids_of.new_unit()
+                    if last > first:
+                        found = flat[places[first] : places[last]], lengths[first:last]
+                        ids_of.extend(*(with_long(*found, long, single) if long else found))
+                    first = last
+                    rows.append((doc, *finish(ids_of.of(np.frombuffer(codes, np.int32)), table, digits)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), target, strict=True)], schema=target)
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).cast("binary").alias("t"))
@@ -272,12 +316,12 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, finish, schema: str, dictio
     return parts.select("doc_id", "start", "codes", encode_words(F.col("own"), literal).alias("own"), "long").mapInArrow(second_pass, schema)
 
 
-def bpe_encode(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 600_000, unit_words: int = 200_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bpe_encode(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 900_000, unit_words: int = 200_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (array<int>) for each row of ``docs``."""
     return encoded(docs, vocabulary, token_ids, "doc_id long, ids array<int>", dictionary_words, unit_words, fold_bytes, id_col, text_col)
 
 
-def bpe_digests(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 600_000, unit_words: int = 200_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bpe_digests(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 900_000, unit_words: int = 200_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (decimal ids joined by spaces), decoded_sha256 (of the decoded ids)."""
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return encoded(docs, vocabulary, digest, schema, dictionary_words, unit_words, fold_bytes, id_col, text_col)
