@@ -87,8 +87,8 @@ def encode_word(word: Column, ranks: Column) -> Column:
     n, digits = F.octet_length(word), F.hex(word)
 
     def rank(first: Column, end: Column) -> Column:
-        key = F.substring(digits, 2 * first + 1, 2 * (end - first))
-        return F.try_element_at(F.get(ranks, F.shiftrightunsigned(F.hash(key), 32 - RANK_BITS)), key)
+        part = F.substring(digits, 2 * first + 1, 2 * (end - first))
+        return let(part, lambda key: F.try_element_at(F.get(ranks, F.shiftrightunsigned(F.hash(key), 32 - RANK_BITS)), key))
 
     def place(entry: Column) -> Column:
         return entry.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
@@ -100,8 +100,8 @@ def encode_word(word: Column, ranks: Column) -> Column:
         at = lambda i: place(F.get(state, i))  # noqa: E731  null beyond the end, which has no rank
         left = entry(at(p - 2), rank(at(p - 2), at(p + 1)))
         own = entry(place(least), rank(place(least), at(p + 2)))
-        rest = F.filter(state, lambda x, i: i != p)
-        return F.transform(rest, lambda x, i: F.when((i < p - 2) | (i >= p), x).when(i == p - 1, own).otherwise(left))
+        rest = F.array_remove(state, F.get(state, p))
+        return F.transform(rest, lambda x, i: F.when(x == least, own).when(i == p - 2, left).otherwise(x))
 
     def step(state: Column, _: Column) -> Column:
         merge = lambda least: let(F.array_position(state, least).cast("int"), lambda p: merged(state, least, p))
@@ -316,12 +316,12 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, finish, schema: str, dictio
     return parts.select("doc_id", "start", "codes", encode_words(F.col("own"), literal).alias("own"), "long").mapInArrow(second_pass, schema)
 
 
-def bpe_encode(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 900_000, unit_words: int = 200_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bpe_encode(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 800_000, unit_words: int = 200_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (array<int>) for each row of ``docs``."""
     return encoded(docs, vocabulary, token_ids, "doc_id long, ids array<int>", dictionary_words, unit_words, fold_bytes, id_col, text_col)
 
 
-def bpe_digests(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 900_000, unit_words: int = 200_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bpe_digests(docs: DataFrame, vocabulary: Vocabulary, dictionary_words: int = 800_000, unit_words: int = 200_000, fold_bytes: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (decimal ids joined by spaces), decoded_sha256 (of the decoded ids)."""
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return encoded(docs, vocabulary, digest, schema, dictionary_words, unit_words, fold_bytes, id_col, text_col)
