@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, materialise, whole_text
+from .common import SLICE, map_texts, materialise, whole_text
 from .components import components
 from .shingles import mix, shingle_set
 
@@ -87,17 +87,64 @@ def sketches(docs: DataFrame, shingle: int, permutations: int, rows_per_band: in
     return map_texts(docs, [id_col], text_col, make, SKETCH)
 
 
+#: Counters that all shingles share by their hash when a common order of them is made; 8 bytes each in a task.
+COUNTERS = 1 << 20
+
+
+def slots(shingles: np.ndarray) -> np.ndarray:
+    return (shingles.view(np.uint64) % np.uint64(COUNTERS)).astype(np.int64)
+
+
+def list_slices(batches):
+    """node, sizes and flat values of at most ``SLICE`` sets (node, own) at a time."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, SLICE):
+            part = whole.slice(at, SLICE)
+            own = part.column("own")
+            yield part.column("node").to_numpy(), own.value_lengths().to_numpy(), own.flatten().to_numpy()
+
+
+def shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How often the shingles of each counter occur, over all sets.  Each task sends its counters once, so a shingle that
+    many sets have is added up where they are; the driver gets ``COUNTERS`` numbers, whatever the sets."""
+
+    def count(batches):
+        import pyarrow as pa
+
+        seen = np.zeros(COUNTERS, np.int64)
+        for _, _, values in list_slices(batches):
+            at, n = np.unique(slots(values), return_counts=True)
+            seen[at] += n
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen[at])], names=["slot", "n"])
+
+    table = sets.select("node", "own").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[table.column("slot").to_numpy()] = table.column("n").to_numpy()
+    return counts
+
+
 def rare_keys(sets: DataFrame, percent: int) -> DataFrame:
     """node, key: the rarest shingles of each set (node, own).
 
     Two sets that share ``percent`` of their union share that much of the larger, so in any common order of all
-    shingles the first one shared comes before the last ``percent`` of either set have begun.
+    shingles the first one shared comes before the last ``percent`` of either set have begun.  The order here is by counters that
+    shingles share by their hash, then by the shingle: no set is taken apart, only the keys chosen become rows.  Counters that
+    collide make a bucket larger, never miss a pair.
     """
-    own = sets.select("node", F.explode("own").alias("key"))
-    often = own.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    ranked = own.join(often, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("o"))
-    first = F.expr(f"size(o) - ({percent} * size(o) + 99) div 100 + 1").cast("int")
-    return ranked.select("node", F.explode(F.slice("o", F.lit(1), first)).alias("x")).select("node", F.col("x.key").alias("key"))
+    shared = sets.sparkSession.sparkContext.broadcast(shingle_counts(sets))
+
+    def rarest(batches):
+        import pyarrow as pa
+
+        for node, sizes, values in list_slices(batches):
+            member = np.repeat(np.arange(len(node)), sizes)
+            order = np.lexsort((values, shared.value[slots(values)], member))
+            place = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            kept = order[place < np.repeat(sizes - (percent * sizes.astype(np.int64) + 99) // 100 + 1, sizes)]
+            yield pa.RecordBatch.from_arrays([pa.array(node[member[kept]]), pa.array(values[kept])], names=["node", "key"])
+
+    return sets.select("node", "own").mapInArrow(rarest, "node long, key long")
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
@@ -198,7 +245,8 @@ def near_groups(
     crowd = state.join(mixed.where(F.col("n") > block).select("key"), "key").select("node", "component").distinct()
     crowd = materialise(crowd, "crowded")
     if not crowd.isEmpty():
-        again = rare_keys(sets.join(crowd.select("node"), "node", "left_semi"), percent).join(crowd, "node")
+        members = materialise(sets.join(crowd.select("node"), "node", "left_semi"), "crowded-sets")
+        again = rare_keys(members, percent).join(crowd, "node")
         again = materialise(again.select("key", "node", "component"), "crowded-keys")
         small = small.union(again.join(mixed_buckets(again.withColumn("n", F.lit(1))).select("key", "members"), "key").select("key", "node", "members", "component"))
     blocks = F.ceil(F.col("n") / block).cast("int")
