@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tidefold.llm.components import components
-from tidefold.llm.minhash import band_keys, joining_links, multipliers, near_groups, rare_keys, signature
+from tidefold.llm.minhash import band_keys, joining_links, mixed_buckets, multipliers, near_groups, rare_keys, signature, tiles
 from tidefold.llm.shingles import run_hashes, shingle_set
 from tidefold.llm.substring_dedup import cut_spans, seeds, spans, substring_dedup
 from tidefold.llm.topk import threshold_search, top_k
@@ -119,11 +119,29 @@ def test_tiles_find_every_joining_link():
     base = r.integers(0, 2**60, 50)
     sets = [np.unique(np.concatenate([base[: 50 - k], r.integers(0, 2**60, k)])) for k in (0, 3, 5, 30, 31, 2)] + [r.integers(0, 2**60, 9)]
     ids = np.arange(len(sets))
-    links = joining_links(ids, ids.copy(), np.zeros(len(sets), int), np.concatenate(sets), np.cumsum([len(s) for s in sets]), 75, True)
+    links = joining_links(ids, ids.copy(), ids >= 0, ids >= 0, np.concatenate(sets), np.cumsum([len(s) for s in sets]), 75)
     touched = {x for link in links for x in link}
     assert touched == {0, 1, 2, 5} and len(links) == 3
 
 
+@pytest.mark.parametrize("block", [1, 3, 100])
+def test_tiles_let_every_pair_of_components_meet_once(spark, block):
+    """Pairs within the largest component don't ask; a member goes once to each block of others, and another to each block of members besides."""
+    r = random.Random(block)
+    label = [0] * 30 + [1] * 5 + [2 + i for i in range(6)] + [0]
+    state = [(key, i, label[i]) for key in (1, 2) for i in r.sample(range(42), 42 if key == 1 else 20)] + [(3, 0, 0), (3, 1, 0)]
+    df = spark.createDataFrame(state, "key long, node long, component long")
+    found = defaultdict(list)
+    for key, i, j, node, asking, asked in rows(tiles(df, mixed_buckets(df), block), "key", "i", "j", "node", "asking", "asked"):
+        found[key, i, j].append((node, asking, asked))
+    met = {(key, a, b) for (key, _, _), members in found.items() for a, asks, _ in members for b, _, asked in members if asks and asked}
+    wanted = {(k, a, b) for k, a, c in state for q, b, d in state if k == q and c != 0 and c != d}
+    assert wanted <= met and all(label[a] != 0 for _, a, _ in met) and 3 not in {k for k, _, _ in met}
+    assert all(len(members) == len({m[0] for m in members}) for members in found.values())
+    if block == 100:
+        assert sum(map(len, found.values())) == 62
+
+
 def test_signature_has_both_ends():
     s = shingle_set([b"a", b"b", b"c", b"d", b"e", b"f"], 5)
     f = multipliers(3)

@@ -11,11 +11,12 @@
 2. Equal sets collapse first (any number of copies is one class, combined in the map tasks).
 3. In each bucket the class with the least id stands at the centre: every other class of the bucket is
    compared with it on the full sets, and components are formed from the links found.
-4. Buckets whose classes are still in several components are compared in full, on the full sets, so no pair that shares a bucket is left
-   undecided.  One of up to ``block`` members is compared by one task.  The members of larger ones, which may be no more than alike, first meet
-   anew on their rarest shingles (the prefix filter of 1, over all their sets): whoever has the similarity shares one.  Of
-   these buckets, too, only those with several components are compared; one with over ``block`` members is cut into
-   blocks and each task compares two.  Only links that join components leave a task, at most one less than its members, and no pairs are materialised.
+4. In buckets whose classes are still in several components, every member outside the bucket's largest component (the *others*) is compared
+   with all members, on the full sets, so no pair that shares a bucket is left undecided; pairs within the largest component aren't compared.
+   Others and members are cut into blocks of ``block`` and a task compares one of each, so a member's set is sent once for each block of others:
+   once at all, as long as the others fill one block, however many copies the bucket has.  Where the others fill more, the members, which
+   may be no more than alike, first meet anew on their rarest shingles (the prefix filter of 1, over all their sets): whoever has the
+   similarity shares one.  Only links that join components leave a task, at most one less than its members, and no pairs are materialised.
 5. Texts of one doc_id are linked as well.
 
 The sets of 3 and 4 are made again from the texts of classes that share a bucket; all other texts are
@@ -154,19 +155,16 @@ def full_sets(docs: DataFrame, nodes: DataFrame, shingle: int, id_col: str, text
     return map_texts(picked, ["id"], "text", make, "node long, own array<long>")
 
 
-def joining_links(node: np.ndarray, component: np.ndarray, side: np.ndarray, values: np.ndarray, ends: np.ndarray, percent: int, one_side: bool) -> list[tuple[int, int]]:
-    """Links between members of different components, as many as join them.
+def joining_links(node: np.ndarray, component: np.ndarray, asking: np.ndarray, asked: np.ndarray, values: np.ndarray, ends: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links of the members ``asking`` to the members ``asked`` that are in another component, as many as join components.
 
-    ``values[ends[i-1]:ends[i]]`` is the set of member i.  Each member meets all others through
-    posting lists; with ``one_side`` false, only members of the other block count.
+    ``values[ends[i-1]:ends[i]]`` is the set of member i.  Who asks meets all others through posting lists.
     """
     starts = np.concatenate([[0], ends[:-1]])
     sizes = ends - starts
     owner = np.repeat(np.arange(len(node)), sizes)
     order = np.argsort(values, kind="stable")
     ranked, posted = values[order], owner[order]
-    first = np.searchsorted(ranked, values)
-    number = np.searchsorted(ranked, values, side="right") - first
     parent = {c: c for c in component.tolist()}
 
     def root(c: int) -> int:
@@ -176,15 +174,14 @@ def joining_links(node: np.ndarray, component: np.ndarray, side: np.ndarray, val
         return c
 
     links = []
-    for i in range(len(node)):
-        f, n = first[starts[i] : ends[i]], number[starts[i] : ends[i]]
+    for i in np.flatnonzero(asking):
+        own = values[starts[i] : ends[i]]
+        f = np.searchsorted(ranked, own)
+        n = np.searchsorted(ranked, own, side="right") - f
         at = np.repeat(f - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         shared = np.bincount(posted[at], minlength=len(node))
         near = 100 * shared >= percent * (sizes + sizes[i] - shared)
-        near[: i + 1] = False
-        if not one_side:
-            near &= side != side[i]
-        for j in np.flatnonzero(near & (component != component[i])):
+        for j in np.flatnonzero(near & asked & (component != component[i])):
             a, b = root(int(component[i])), root(int(component[j]))
             if a != b:
                 parent[max(a, b)] = min(a, b)
@@ -193,9 +190,25 @@ def joining_links(node: np.ndarray, component: np.ndarray, side: np.ndarray, val
 
 
 def mixed_buckets(state: DataFrame) -> DataFrame:
-    """key, n, members of the buckets that hold several components."""
-    found = state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.any_value("n").alias("n"), F.count(F.lit(1)).alias("members"))
-    return found.where("lo < hi").select("key", "n", "members")
+    """key, main (the largest component), n (members), others (members outside it) of the buckets (key, node, component) that hold several components."""
+    parts = state.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
+    found = parts.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("n"))
+    return found.select("key", F.col("top.component").alias("main"), "n", (F.col("n") - F.col("top.size")).alias("others")).where("others > 0")
+
+
+def tiles(state: DataFrame, mixed: DataFrame, block: int) -> DataFrame:
+    """key, i, j, node, component, asking, asked: block i of a bucket's others meets block j of its members."""
+    blocks = lambda column: F.ceil(F.col(column) / block).cast("int")
+    other = F.col("component") != F.col("main")
+    members = (
+        state.join(mixed, "key")
+        .withColumn("mine", F.pmod(F.xxhash64("node"), blocks("n")).cast("int"))
+        .withColumn("turn", F.when(other, F.pmod(F.xxhash64("node"), blocks("others")).cast("int")))
+    )
+    asked = members.withColumn("i", F.explode(F.sequence(F.lit(0), blocks("others") - 1)))
+    asked = asked.select("key", "i", F.col("mine").alias("j"), "node", "component", F.coalesce(F.col("i") == F.col("turn"), F.lit(False)).alias("asking"), F.lit(True).alias("asked"))
+    asking = members.where(other & (F.col("n") > block)).withColumn("j", F.explode(F.sequence(F.lit(0), blocks("n") - 1))).where("j <> mine")
+    return asked.union(asking.select("key", F.col("turn").alias("i"), "j", "node", "component", F.lit(True).alias("asking"), F.lit(False).alias("asked")))
 
 
 def id_links(known: DataFrame, classes: DataFrame) -> DataFrame:
@@ -226,8 +239,8 @@ def near_groups(
 
     rare = materialise(rare_keys(classes.where("small is not null").select("node", F.col("small").alias("own")), percent), "rare-keys")
     rows = classes.select("node", F.explode("bands").alias("key")).union(rare)
-    shared = rows.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("other"), F.count(F.lit(1)).alias("n"))
-    hits = materialise(rows.join(shared.where("centre < other"), "key").select("key", "node", "centre", "n"), "buckets")
+    shared = rows.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("other"))
+    hits = materialise(rows.join(shared.where("centre < other"), "key").select("key", "node", "centre"), "buckets")
     sets = materialise(full_sets(docs, hits.select("node").distinct(), shingle, id_col, text_col), "full-sets")
 
     pairs = hits.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
@@ -238,36 +251,27 @@ def near_groups(
     found = components(linked)
 
     # buckets in which components still meet
-    state = hits.join(found, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
+    state = hits.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     state = materialise(state, "bucket-state")
     mixed = materialise(mixed_buckets(state), "mixed-buckets")
-    small = state.join(mixed.where(F.col("n") <= block).select("key"), "key")
-    crowd = state.join(mixed.where(F.col("n") > block).select("key"), "key").select("node", "component").distinct()
+    meet = tiles(state, mixed.where(F.col("others") <= block), block)
+    crowd = state.join(mixed.where(F.col("others") > block).select("key"), "key").select("node", "component").distinct()
     crowd = materialise(crowd, "crowded")
     if not crowd.isEmpty():
         members = materialise(sets.join(crowd.select("node"), "node", "left_semi"), "crowded-sets")
         again = rare_keys(members, percent).join(crowd, "node")
         again = materialise(again.select("key", "node", "component"), "crowded-keys")
-        small = small.union(again.join(mixed_buckets(again.withColumn("n", F.lit(1))).select("key", "members"), "key").select("key", "node", "members", "component"))
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    tiles = (
-        small.withColumn("mine", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", F.least("mine", "with").alias("i"), F.greatest("mine", "with").alias("j"), "node", "component", "mine")
-    )
+        meet = meet.union(tiles(again, mixed_buckets(again), block))
 
     def compare(table):
         import pyarrow as pa
 
         own = table.column("own").combine_chunks()
-        values = own.flatten().to_numpy()
-        ends = np.cumsum(own.value_lengths().to_numpy())
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        node, component, side = (table.column(c).to_numpy() for c in ("node", "component", "mine"))
-        links = joining_links(node, component, side, values, ends, percent, i == j)
+        node, component, asking, asked = (table.column(c).to_numpy() for c in ("node", "component", "asking", "asked"))
+        links = joining_links(node, component, asking, asked, own.flatten().to_numpy(), np.cumsum(own.value_lengths().to_numpy()), percent)
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    more = tiles.join(sets, "node").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
+    more = meet.join(sets, "node").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
     more = materialise(more, "bucket-links")
     if not more.isEmpty():
         found = components(linked.union(more))
