@@ -39,3 +39,15 @@ def test_entry_points(spark):
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).columns == ["user_id", "event_id", "event_type", "value"]
+
+
+@pytest.mark.parametrize("large", [6, 3])
+def test_parts_of_more_than_a_megabyte_are_merged(spark, tmp_path, large):
+    """Six parts of a customer table, all or three of them above the size that counts as small."""
+    name = "case when id % 6 < {} then sha2(cast(id as string), 512) else 'x' end as c_name".format(large)
+    rows = spark.range(100_000).selectExpr("id as c_custkey", name, "id * 0.25D as c_acctbal")
+    rows.write.parquet(str(tmp_path / "customer.parquet"))
+    got = QUERIES["compaction_rows"](spark, str(tmp_path))
+    files = [os.path.getsize(f.removeprefix("file://")) for f in got.inputFiles()]
+    assert len(files) == 1 and files[0] > large << 20
+    assert got.count() == 100_000 and not got.exceptAll(rows).take(1)
