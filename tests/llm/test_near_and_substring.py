@@ -266,3 +266,17 @@ def test_top_k(spark):
             wanted += [(i, n + 1, j, -s) for n, (s, j) in enumerate(near)]
     assert sorted(got) == sorted(wanted)
     assert top_k(df.limit(0), df["vec_id"] % 20 == 0).count() == 0
+
+
+def test_scratch_tables_have_few_files(spark):
+    """No checksum files or marks, for each of which a process would start, and narrow rows in few files."""
+    import os
+
+    from tidefold.llm.common import materialise
+
+    rows = spark.range(0, 2000, 1, 40).selectExpr("id as node", "id % 7 as component")
+    for few, most in ((False, 40), (True, 4)):
+        found = materialise(rows, "few", few)
+        folder = found.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert len(os.listdir(folder)) <= most and all(f.startswith("part-") for f in os.listdir(folder))
+        assert not found.exceptAll(rows).take(1) and found.count() == 2000

@@ -237,30 +237,30 @@ def near_groups(
     classes = known.where(~apart).groupBy("set_key").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"), F.any_value("small").alias("small"))
     classes = materialise(classes, "classes")
 
-    rare = materialise(rare_keys(classes.where("small is not null").select("node", F.col("small").alias("own")), percent), "rare-keys")
+    rare = materialise(rare_keys(classes.where("small is not null").select("node", F.col("small").alias("own")), percent), "rare-keys", few=True)
     rows = classes.select("node", F.explode("bands").alias("key")).union(rare)
     shared = rows.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("other"))
-    hits = materialise(rows.join(shared.where("centre < other"), "key").select("key", "node", "centre"), "buckets")
+    hits = materialise(rows.join(shared.where("centre < other"), "key").select("key", "node", "centre"), "buckets", few=True)
     sets = materialise(full_sets(docs, hits.select("node").distinct(), shingle, id_col, text_col), "full-sets")
 
     pairs = hits.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     left, right = sets.select(F.col("node").alias("a"), F.col("own").alias("x")), sets.select(F.col("node").alias("b"), F.col("own").alias("y"))
     met = pairs.join(right, "b").join(left, "a").select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("both"))
-    linked = materialise(met.where(100 * F.col("both") >= percent * (F.col("nx") + F.col("ny") - F.col("both"))).select("a", "b"), "star-links")
+    linked = materialise(met.where(100 * F.col("both") >= percent * (F.col("nx") + F.col("ny") - F.col("both"))).select("a", "b"), "star-links", few=True)
     linked = linked.union(id_links(known.where(~apart), classes))
     found = components(linked)
 
     # buckets in which components still meet
     state = hits.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    state = materialise(state, "bucket-state")
-    mixed = materialise(mixed_buckets(state), "mixed-buckets")
+    state = materialise(state, "bucket-state", few=True)
+    mixed = materialise(mixed_buckets(state), "mixed-buckets", few=True)
     meet = tiles(state, mixed.where(F.col("others") <= block), block)
     crowd = state.join(mixed.where(F.col("others") > block).select("key"), "key").select("node", "component").distinct()
-    crowd = materialise(crowd, "crowded")
+    crowd = materialise(crowd, "crowded", few=True)
     if not crowd.isEmpty():
         members = materialise(sets.join(crowd.select("node"), "node", "left_semi"), "crowded-sets")
         again = rare_keys(members, percent).join(crowd, "node")
-        again = materialise(again.select("key", "node", "component"), "crowded-keys")
+        again = materialise(again.select("key", "node", "component"), "crowded-keys", few=True)
         meet = meet.union(tiles(again, mixed_buckets(again), block))
 
     def compare(table):
@@ -272,7 +272,7 @@ def near_groups(
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
     more = meet.join(sets, "node").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
-    more = materialise(more, "bucket-links")
+    more = materialise(more, "bucket-links", few=True)
     if not more.isEmpty():
         found = components(linked.union(more))
 
