@@ -345,3 +345,29 @@ def test_expressions_end_where_the_grammar_ends(text, labels, score):
 
 def test_license_of_nothing(nothing):
     assert license_scan(nothing).count() == 0
+
+
+def test_a_worker_keeps_one_pass_only(spark):
+    """Data of a pass go with it, the broadcast's copy included, and come back with it."""
+    from tidefold.llm import bpe
+
+    words, ids = spark.sparkContext.broadcast(["a", "b"]), spark.sparkContext.broadcast([1, 2, 3])
+
+    def passes(_):
+        found = []
+        for shared, make in ((words, list), (ids, tuple), (words, list)):
+            found.append((len(bpe.loaded("x", shared, make)), hasattr(words, "_value"), hasattr(ids, "_value"), len(bpe._loaded)))
+        return [found]
+
+    assert spark.sparkContext.parallelize([0], 1).mapPartitions(passes).collect() == [[(2, False, False, 1), (3, False, False, 1), (2, False, False, 1)]]
+
+
+def test_digests_of_few_ids():
+    from tidefold.llm import bpe
+
+    table = [b"a", b"bc", b"", b"\xff\x00"]
+    _, strings, digits = bpe.word_ids((np.array([1], np.int32), np.array([1], np.int32), table))
+    for ids in ([], [2], [2, 2], [0, 1, 3, 2], [3]):
+        wanted = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(b"".join(table[i] for i in ids)).hexdigest()
+        assert bpe.digest(np.array(ids, np.int32), strings, digits) == (len(ids), *wanted)
+    assert bytes(bpe.strung(digits, np.array([3, 0], np.int32))) == b"3 0 "

@@ -130,7 +130,7 @@ def word_table(docs: DataFrame, pattern: str, fold_bytes: int, text_col: str) ->
     """w, level (16 * log2 of its count): the distinct words of all documents, but for those over ``fold_bytes``."""
     found = F.explode(F.regexp_extract_all(whole_text(text_col), F.lit(java_pattern(pattern)), F.lit(0)))
     counts = docs.select(found.alias("w")).where((F.octet_length("w") > 0) & (F.octet_length("w") <= fold_bytes)).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    return materialise(counts.select("w", F.floor(F.log2(F.col("n")) * 16).cast("int").alias("level")), "words")
+    return materialise(counts.select("w", F.floor(F.log2(F.col("n")) * 16).cast("int").alias("level")), "words", few=True)
 
 
 def least_level(levels: dict[int, int], words: int) -> int:
@@ -154,11 +154,14 @@ _loaded: dict = {}
 
 
 def loaded(name: str, shared, make):
-    """What ``make`` builds of a broadcast value, once in a worker process that stays in one of the passes; it holds only one pass's data."""
+    """What ``make`` builds of a broadcast value, once in a worker process that stays in one of the passes; it holds only one pass's data,
+    not the broadcast's own copy either, which would outlast the pass."""
     key = (name, make.__name__)
     if key not in _loaded:
         _loaded.clear()
         _loaded[key] = make(shared.value)
+        if getattr(shared, "_path", None):  # a worker that comes back to this pass reads the file again
+            vars(shared).pop("_value", None)
     return _loaded[key]
 
 
@@ -192,7 +195,8 @@ class WordIds:
     """The ids of words by code, in flat arrays: a few bytes a word.  Words behind the dictionary's belong to a unit and are forgotten with it."""
 
     def __init__(self, flat: np.ndarray, lengths: np.ndarray):
-        self.flat, self.lengths, self.starts = flat.copy(), lengths.copy(), np.cumsum(lengths, dtype=np.int64) - lengths
+        # nothing is written below ``hot``, and what is behind it is ``room``'s
+        self.flat, self.lengths, self.starts = flat, lengths, np.cumsum(lengths, dtype=np.int64) - lengths
         self.hot = self.end = (len(lengths), len(flat))
 
     def new_unit(self) -> None:
@@ -224,19 +228,27 @@ def room(values: np.ndarray, size: int) -> np.ndarray:
 
 
 def word_ids(data: tuple[np.ndarray, np.ndarray, list[bytes]]) -> tuple:
-    """The ids of the dictionary's words; per id its byte string and its digits."""
+    """The ids of the dictionary's words; per id its byte string, and its digits with the space behind them, as Arrow arrays."""
+    import pyarrow as pa
+
     flat, lengths, table = data
-    return WordIds(flat, lengths), table, [b"%d" % i for i in range(len(table))]
+    return WordIds(flat, lengths), pa.array(table, pa.large_binary()), pa.array([b"%d " % i for i in range(len(table))], pa.large_binary())
+
+
+def strung(strings, ids: np.ndarray) -> memoryview:
+    """The byte strings (an Arrow array of large binaries) of the ids, one behind the other, without a Python object for each."""
+    if not len(ids):
+        return memoryview(b"")
+    _, ends, data = strings.take(ids).buffers()
+    return memoryview(data)[: np.frombuffer(ends, np.int64, len(ids) + 1)[-1]]
 
 
-def digest(ids: np.ndarray, table: list[bytes], digits: list[bytes]) -> tuple:
+def digest(ids: np.ndarray, table, digits) -> tuple:
     """Number of ids, SHA-256 of the decimal ids and of the bytes that they decode to."""
-    keys = ids.tolist()
-    joined, decoded = b" ".join(pick(digits, keys)), b"".join(pick(table, keys))
-    return len(keys), hashlib.sha256(joined).hexdigest(), hashlib.sha256(decoded).hexdigest()
+    return len(ids), hashlib.sha256(strung(digits, ids)[:-1]).hexdigest(), hashlib.sha256(strung(table, ids)).hexdigest()
 
 
-def token_ids(ids: np.ndarray, table: list[bytes], digits: list[bytes]) -> tuple:
+def token_ids(ids: np.ndarray, table, digits) -> tuple:
     return (ids,)
 
 
