@@ -149,6 +149,16 @@ def test_pack(docs, library):
     assert len(places) <= 1.05 * sum(r[3] for r in got) / 256 + 1
 
 
+def test_pack_stores_the_pieces_only(docs, monkeypatch):
+    """Each file of a scratch table can start a process that doubles an executor's memory for a moment."""
+    from tidefold.llm import packing
+
+    stored, write = [], packing.materialise
+    monkeypatch.setattr(packing, "materialise", lambda df, name, **how: stored.append(name) or write(df, name, **how))
+    assert pack(docs, vocabulary("byte_bpe_50k.json"), max_tokens=256).count() > docs.count()
+    assert stored == ["pieces"]
+
+
 def test_pack_takes_added_tokens_as_the_library_does(spark):
     """The library as the contract calls it, with nothing set."""
     import public_tokenizers

@@ -159,11 +159,12 @@ def pack(
     chunk = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(chunks)).cast("int")
     pieces = materialise(pieces.select("doc_id", F.inline("pieces")).withColumn("chunk", chunk), "pieces")
 
-    counts = materialise(pieces.groupBy("length", "chunk").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
-    lengths = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    lengths = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     segments, _ = pack_classes(lengths, max_tokens, max_docs, max_cost, weights, choose)
     find = place(segments)
 
+    # counted from the stored pieces, not stored itself: a file for each of its tasks costs more than the count
+    counts = pieces.groupBy("length", "chunk").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("length").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("length", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("long")).alias("before"))
     own = Window.partitionBy("length", "chunk").orderBy("doc_id", "piece", "ids_crc32")
