@@ -381,3 +381,34 @@ def test_digests_of_few_ids():
         wanted = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(b"".join(table[i] for i in ids)).hexdigest()
         assert bpe.digest(np.array(ids, np.int32), strings, digits) == (len(ids), *wanted)
     assert bytes(bpe.strung(digits, np.array([3, 0], np.int32))) == b"3 0 "
+
+
+def test_words_are_split_as_regex_does_without_it(monkeypatch):
+    import random
+
+    import public_tokenizers
+    import regex
+
+    from tidefold.llm import bpe
+
+    wanted = regex.compile(public_tokenizers.PATTERN).findall
+    r = random.Random(5)
+    odd = "aZ  '\t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u2028\u3000\u200b09²½Ⅷ一٣éßñ_-.\u0301ʰ\ufeff\uffff"
+    texts = ["".join(r.choices(odd, k=30)) for _ in range(3000)] + ["we'll I'm 's 'S it'd've'", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)])), ""]
+    texts += [f" {chr(c)}{chr(c)}a '{chr(c)}1" for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    beyond = [f" a{chr(c)}b {chr(c)}1'{chr(c)}" for c in (0x10000, 0x1D400, 0x1D7CE, 0x1F600, 0x20000, 0x10FFFF)]
+    asked = []
+
+    class Counted:
+        def __init__(self, pattern):
+            self.findall = lambda text: asked.append(text) or wanted(text)
+
+    bpe.split_words.cache_clear()
+    with monkeypatch.context() as m:
+        m.setattr(regex, "compile", Counted)
+        find = bpe.split_words(public_tokenizers.PATTERN)
+    bpe.split_words.cache_clear()
+    assert all(find(t) == wanted(t) for t in texts + beyond)
+    assert asked == beyond
+    for pattern in (r"(?i:a)", r"[\S]", r"\w+", r"[[:alpha:]]", r"(?>a)", r"(?i)a"):
+        assert bpe.spelt_out(pattern) is None

@@ -24,8 +24,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import uuid
 from array import array
+from functools import lru_cache
 from operator import itemgetter
 
 import numpy as np
@@ -114,10 +116,44 @@ def encode_word(word: Column, ranks: Column) -> Column:
     return F.when(n == 0, F.array().cast("array<int>")).when(whole.isNotNull() | (n == 1), F.array(whole)).otherwise(folded)
 
 
+@lru_cache(maxsize=2)
 def split_words(pattern: str):
+    """A function that gives all matches in a text.  Python's own engine takes less than half of the time of ``regex``, which
+    keeps the patterns that aren't spelt out and the texts with characters beyond U+FFFF."""
     import regex
 
-    return regex.compile(pattern).findall
+    whole, spelt = regex.compile(pattern).findall, spelt_out(pattern)
+    if spelt is None:
+        return whole
+    plain, beyond = re.compile(spelt).findall, re.compile("[\U00010000-\U0010FFFF]").search
+    return lambda text: plain(text) if text.isascii() or not beyond(text) else whole(text)
+
+
+def spelt_out(pattern: str) -> str | None:
+    """The pattern for ``re``, its classes as the characters up to U+FFFF that ``regex`` puts there; None if it has more than that is done for."""
+    out, inside = [], False
+    for part in re.findall(r"\\p\{\w+\}|\\.|\(\?.|.", pattern, re.DOTALL):
+        if part == "[" and inside or part[0] == "(" and part not in ("(", "(?:", "(?!", "(?="):
+            return None
+        if part in ("[", "]"):
+            inside = part == "["
+        if part[0] != "\\":
+            out.append(part)
+        elif part == r"\s" or part.startswith(r"\p"):
+            out.append(members(part) if inside else f"[{members(part)}]")
+        elif part == r"\S" and not inside:
+            out.append(f"[^{members(chr(92) + 's')}]")
+        else:
+            return None
+    return "".join(out)
+
+
+def members(kind: str) -> str:
+    """The characters of a class up to U+FFFF, as ranges inside brackets."""
+    import regex
+
+    runs = regex.finditer(f"{kind}+", "".join(map(chr, range(0x10000))))
+    return "".join(f"\\u{run.start():04x}-\\u{run.end() - 1:04x}" for run in runs)
 
 
 def java_pattern(pattern: str) -> str:
